@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import mixing, packing, simhash
+from loomwork.llm import cws, mixing, packing, simhash, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,12 +23,25 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cws.neighbours(table(spark, sf_dir, "documents"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.write(table(spark, sf_dir, "documents")).documents()
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_mix": op1_mix, "op2_simhash": op2_simhash, "op10_pack": op10_pack}
+    found = (op1_mix, op2_simhash, op5_fingerprint, op8_token_files, op9_toxicity, op10_pack)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
