@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import cws, embeddings, mixing, packing, simhash, token_files, toxicity
+from loomwork.llm import cws, embeddings, mixing, packing, simhash, substrings, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cws.neighbours(table(spark, sf_dir, "documents"))
 
@@ -44,7 +48,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_mix, op2_simhash, op3_embeddings, op5_fingerprint, op8_token_files, op9_toxicity, op10_pack)
+    found = (op1_mix, op2_simhash, op3_embeddings, op4_substrings, op5_fingerprint, op8_token_files, op9_toxicity, op10_pack)
     return {f.__name__: f for f in found}
 
 
