@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import cws, embeddings, mixing, packing, simhash, substrings, token_files, toxicity
+from loomwork.llm import cws, embeddings, lines, mixing, packing, simhash, substrings, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cws.neighbours(table(spark, sf_dir, "documents"))
 
 
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write(table(spark, sf_dir, "documents")).documents()
 
@@ -48,9 +52,9 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_mix, op2_simhash, op3_embeddings, op4_substrings, op5_fingerprint, op8_token_files, op9_toxicity, op10_pack)
+    found = (op1_mix, op2_simhash, op3_embeddings, op4_substrings, op5_fingerprint, op6_lines, op8_token_files, op9_toxicity, op10_pack)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": mixing.OP1_SQL}
+    return {"op1_mix": mixing.OP1_SQL, "op6_lines": lines.OP6_SQL}
