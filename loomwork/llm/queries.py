@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import cws, embeddings, lines, mixing, packing, simhash, substrings, token_files, toxicity
+from loomwork.llm import cws, embeddings, html_text, lines, mixing, packing, simhash, substrings, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write(table(spark, sf_dir, "documents")).documents()
 
@@ -52,7 +56,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_mix, op2_simhash, op3_embeddings, op4_substrings, op5_fingerprint, op6_lines, op8_token_files, op9_toxicity, op10_pack)
+    found = (op1_mix, op2_simhash, op3_embeddings, op4_substrings, op5_fingerprint, op6_lines, op7_html, op8_token_files, op9_toxicity, op10_pack)
     return {f.__name__: f for f in found}
 
 
