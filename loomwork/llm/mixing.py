@@ -41,7 +41,8 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float
     )
     # a source is stopped if its cap lies under the level that it and those after it would share
     stopped = F.col("level") * F.col("weight") >= F.col("cap")
-    final = F.min(F.when(~stopped, F.col("level"))).over(everything)
+    # the first source that is not stopped sets the level; those after it would count it as stopped and get a lower one
+    final = F.max(F.when(~stopped, F.col("level"))).over(everything)
     target = F.when(stopped, F.col("cap")).otherwise(F.least(F.col("cap"), final * F.col("weight")))
     return rows.select("source", "source_size", target.alias("target"))
 
@@ -117,7 +118,7 @@ WITH sized AS (
 ), shares AS (
   SELECT source, source_size,
          CASE WHEN level * weight >= cap THEN cap
-              ELSE least(cap, min(CASE WHEN level * weight < cap THEN level END) OVER () * weight) END AS target
+              ELSE least(cap, max(CASE WHEN level * weight < cap THEN level END) OVER () * weight) END AS target
   FROM level
 ), steps AS (
   SELECT d.doc_id, d.size, s.source_size, s.target,
