@@ -114,8 +114,8 @@ def collapse(text: Column) -> Column:
 def links(html: Column, title: Column | None = None, prefix: str = r"\./|/wiki/", limit: int = 50) -> Column:
     """Internal links in order: decoded, underscores as spaces, without special pages, repeats and the page itself."""
     found = F.regexp_extract_all(html, F.lit(rf"href=[\"'](?:{prefix})([^\"']+)"), 1)
-    for start in lex.LINK_SKIP:
-        found = F.filter(found, lambda x, start=start: ~F.startswith(x, F.lit(start)))
+    special = F.array(*[F.lit(start) for start in lex.LINK_SKIP])
+    found = F.filter(found, lambda x: ~F.exists(special, lambda start: F.startswith(x, start)))
     # url_decode reads + as a space, which links do not
     names = F.transform(found, lambda x: F.replace(F.try_url_decode(F.replace(x, F.lit("+"), F.lit("%2B"))), F.lit("_"), F.lit(" ")))
     if title is not None:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomwork.functions import lexicons as lex
 from loomwork.functions import schemas
 from loomwork.functions.chains import valid_steps
+from loomwork.functions.markup import strip
 
 FENCED = r"(?s)```(?:json)?\s*(\{.*?\})\s*```"
 FENCED_LIST = r"(?s)```(?:json)?\s*(\[.*?\])\s*```"
@@ -24,7 +25,7 @@ def _parsed(text: Column, schema: str) -> Column:
 
 def difficulty(answer: Column) -> Column:
     """The label whose first mention comes last; easy without any."""
-    lowered = F.lower(F.trim(F.coalesce(answer, F.lit(""))))
+    lowered = F.lower(strip(F.coalesce(answer, F.lit(""))))
     at = {label: F.regexp_instr(lowered, F.lit(rf"(?U)\b{label}\b")) for label in ("easy", "medium", "hard")}
     last = F.greatest(*at.values())
     return F.when((at["hard"] > 0) & (at["hard"] == last), "hard").when((at["medium"] > 0) & (at["medium"] == last), "medium").otherwise("easy")
@@ -33,8 +34,8 @@ def difficulty(answer: Column) -> Column:
 def thought_and_action(response: Column) -> tuple[Column, Column]:
     """A reasoning round's thought, and its action: FINISH or what to do."""
     response = F.coalesce(response, F.lit(""))
-    thought = F.trim(F.regexp_extract(response, r"(?is)Thought\s*\d*:\s*(.+?)(?=Action|\z)", 1))
-    said = F.trim(F.regexp_extract(response, r"(?im)Action\s*\d*:\s*(.+?)$", 1))
+    thought = strip(F.regexp_extract(response, r"(?is)Thought\s*\d*:\s*(.+?)(?=Action|\z)", 1))
+    said = strip(F.regexp_extract(response, r"(?im)Action\s*\d*:\s*(.+?)$", 1))
     asks = F.lower(said).startswith("retrieve:")
     action = F.when(said == "", "FINISH").when(asks, said).when(F.lower(said).contains("finish"), "FINISH").otherwise(said)
     done = response.contains("FINISH") & ~F.lower(response).contains("retrieve")
@@ -43,7 +44,7 @@ def thought_and_action(response: Column) -> tuple[Column, Column]:
 
 def retrieve_request(response: Column) -> Column:
     """What a revision asks to look up; null if nothing."""
-    return F.nullif(F.trim(F.regexp_extract(F.coalesce(response, F.lit("")), r"(?i)retrieve:\s*(.+?)(?:\n|\z)", 1)), F.lit(""))
+    return F.nullif(strip(F.regexp_extract(F.coalesce(response, F.lit("")), r"(?i)retrieve:\s*(.+?)(?:\n|\z)", 1)), F.lit(""))
 
 
 def chain_steps(response: Column) -> Column:
@@ -95,7 +96,7 @@ def judge_score(answer: Column) -> Column:
         found = _found(answer, pattern, group)
         held = F.get_json_object(found, "$.score")
         score = F.coalesce(held.try_cast("double"), F.when(held.isNull(), 3.0))
-        out = F.coalesce(out, F.when(F.try_parse_json(found).isNotNull(), F.least(F.lit(5.0), F.greatest(F.lit(1.0), score))))
+        out = F.coalesce(out, F.when(F.try_parse_json(found).isNotNull() & score.isNotNull(), F.least(F.lit(5.0), F.greatest(F.lit(1.0), score))))
     digit = F.regexp_extract(answer, "[1-5]", 0)
     return F.coalesce(out, F.when(digit != "", digit.cast("double")), F.lit(3.0))
 
@@ -108,14 +109,14 @@ def extraction(answer: Column) -> Column:
     )
     inner = F.coalesce(_found(answer, FENCED, 1), answer)
     data = _parsed(F.coalesce(_found(inner, r'(?s)\{[^{}]*"entities"\s*:\s*\[.*?\]\s*,\s*"relations"\s*:\s*\[.*?\]\s*\}'), _found(inner, r"(?s)\{.*\}")), schema)
-    low = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    low = lambda c: F.lower(strip(F.coalesce(c, F.lit(""))))
     entities = F.transform(
         F.filter(data["entities"], lambda e: e["name"].isNotNull() & F.lower(e["type"]).isin(*lex.ENTITY_TYPES)),
         lambda e: F.struct(
             low(e["name"]).alias("name"),
             F.lower(e["type"]).alias("type"),
             F.transform(F.filter(F.coalesce(e["aliases"], F.array().cast("array<string>")), lambda a: F.coalesce(a, F.lit("")) != ""), low).alias("aliases"),
-            F.trim(F.coalesce(e["description"], F.lit(""))).alias("description"),
+            strip(F.coalesce(e["description"], F.lit(""))).alias("description"),
         ),
     )
     relations = F.filter(
