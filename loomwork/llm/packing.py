@@ -133,7 +133,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     Only the histogram of lengths, at most ``capacity`` rows, comes to the driver.
     """
     spark = items.sparkSession
-    items = items.withColumn("one", F.lit(1).cast("long"))
+    items = materialise(items.withColumn("one", F.lit(1).cast("long")), "pack-items")  # dealing by ranges reads its input twice
     ranked = running_sums(items, ["length", "doc_id", "piece", "ids_crc32"], ["length"], "one", "pack-ranks").drop("one")
     ranked = materialise(ranked, "pack")
     histogram = {r["length"]: r["n"] for r in ranked.groupBy("length").agg(F.count("*").alias("n")).collect()}
