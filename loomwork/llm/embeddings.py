@@ -9,24 +9,28 @@ Tiles hold neighbours: vectors are dealt to pivots, a bounded sample of them, an
 crowded pivot has many tiles. A tile knows its centre and the widest angle to it; two tiles whose angles leave no room
 for a pair within the threshold are never paired. Equal vectors are one row with a count.
 
+Tiles are files in the shared folder, read in place by the tasks that pair them; they are never shuffled.
 A pair of tiles returns a number for each vector with links and the edges of a spanning forest, never the pairs.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import Forest, connected_components, materialise
+from loomwork.llm.common import Forest, connected_components, materialise, partitions, scratch
 
 THRESHOLD = 0.9
 #: Vectors in a tile, at most.
-TILE = 1024
+TILE = 2048
 #: Pivots, at most: a sample chosen by hash.
 PIVOTS = 256
 #: Dimensions whose int8 products sum exactly in single precision.
@@ -91,73 +95,101 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dim)
 
 
-def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (dim, pivot): one row per tile."""
-    from pyspark import TaskContext
-
-    part, made = TaskContext.get().partitionId(), 0
-    names = ["tile", "dim", "centre", "angle", "rows", "ids", "counts"]
-
-    def tile(rows: pa.Table) -> pa.RecordBatch:
-        nonlocal made
-        dim = rows.column("dim")[0].as_py()
-        x = _matrix(rows.column("unit"), dim)
-        mean = x.mean(axis=0)
-        norm = np.linalg.norm(mean)
-        centre = mean / norm if norm > 1e-9 else x[0]
-        angle = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
-        number = (part << 40) | made
-        made += 1
-        ids, counts = (rows.column(c).to_numpy().astype(np.int64).tobytes() for c in ("id", "n"))
-        values = [number], [dim], [centre.tobytes()], [angle], [x.tobytes()], [ids], [counts]
-        kinds = pa.int64(), pa.int32(), pa.binary(), pa.float64(), pa.binary(), pa.binary(), pa.binary()
-        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names=names)
-
-    left = None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        rows = pa.concat_tables([left, rows]) if left is not None else rows
-        while rows.num_rows:
-            key = rows.column("dim")[0].as_py(), rows.column("pivot")[0].as_py()
-            same = (rows.column("dim").to_numpy() == key[0]) & (rows.column("pivot").to_numpy() == key[1])
-            run = int(np.argmin(same)) if not same.all() else len(same)
-            if run == rows.num_rows and run < TILE:
-                break
-            yield tile(rows.slice(0, min(run, TILE)))
-            rows = rows.slice(min(run, TILE))
-        left = rows if rows.num_rows else None
-    if left is not None:
-        yield tile(left)
+_TILE = pa.schema([("rows", pa.large_binary()), ("ids", pa.binary()), ("counts", pa.binary())])
+
+
+def _tiles(folder: str):
+    """From rows sorted by (dim, pivot): tiles, written to files, and one row for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, made = TaskContext.get().partitionId(), 0
+        store, root = pa.fs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        name = f"{part:06d}-{uuid.uuid4().hex}.arrow"
+        heads: list[tuple] = []
+        with store.open_output_stream(f"{root}/{name}") as sink, pa.ipc.new_file(sink, _TILE) as writer:
+
+            def tile(rows: pa.Table) -> None:
+                nonlocal made
+                dim = rows.column("dim")[0].as_py()
+                x = _matrix(rows.column("unit"), dim)
+                mean = x.mean(axis=0)
+                norm = np.linalg.norm(mean)
+                centre = mean / norm if norm > 1e-9 else x[0]
+                angle = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+                ids, counts = (rows.column(c).to_numpy().astype(np.int64).tobytes() for c in ("id", "n"))
+                values = [pa.array([v], k) for v, k in zip((x.tobytes(), ids, counts), _TILE.types)]
+                writer.write_batch(pa.RecordBatch.from_arrays(values, schema=_TILE))
+                heads.append(((part << 40) | made, dim, centre.tobytes(), angle, f"{folder}/{name}", made))
+                made += 1
+
+            left = None
+            for batch in batches:
+                rows = pa.Table.from_batches([batch])
+                rows = pa.concat_tables([left, rows]) if left is not None else rows
+                while rows.num_rows > TILE or (rows.num_rows and rows.column("dim")[0] != rows.column("dim")[-1]):
+                    dims, pivots = rows.column("dim").to_numpy()[: TILE + 1], rows.column("pivot").to_numpy()[: TILE + 1]
+                    size = int(np.argmin(dims == dims[0])) if not (dims == dims[0]).all() else TILE
+                    # a tile ends with a pivot's rows where that leaves it half full
+                    ends = np.flatnonzero(pivots[1 : size + 1] != pivots[:size]) + 1
+                    if size == TILE and len(ends) and ends[-1] >= TILE // 2:
+                        size = int(ends[-1])
+                    tile(rows.slice(0, size))
+                    rows = rows.slice(size)
+                left = rows if rows.num_rows else None
+            if left is not None:
+                tile(left)
+        kinds = pa.int64(), pa.int32(), pa.binary(), pa.float64(), pa.string(), pa.int32()
+        columns = [pa.array([h[i] for h in heads], k) for i, k in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays(columns, names=["tile", "dim", "centre", "angle", "file", "row"])
+
+    return run
+
+
+def _load(file: str, row: int, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    store, path = pa.fs.FileSystem.from_uri(file)
+    with store.open_input_file(path) as source, pa.ipc.open_file(source) as reader:
+        batch = reader.get_batch(row)
+    x, ids, counts = (batch.column(i)[0].as_buffer() for i in range(3))
+    return np.frombuffer(x, np.float64).reshape(-1, dim), np.frombuffer(ids, np.int64), np.frombuffer(counts, np.int64)
 
 
 def _tile_links(threshold: float):
+    """From pairs of tiles, sorted by the first: links of each vector (u, null, n) and a forest's edges (u, v, 0).
+
+    What a first tile finds in all its partners is put together before it is passed on.
+    """
+
+    def finish(found: dict[int, int], forest: Forest) -> pa.RecordBatch:
+        u, v = forest.edges()
+        ids = np.fromiter(found, np.int64, len(found))
+        n = np.fromiter(found.values(), np.int64, len(found))
+        vs = pa.concat_arrays([pa.nulls(len(ids), pa.int64()), pa.array(v, pa.int64())])
+        return pa.RecordBatch.from_arrays([pa.array(np.r_[ids, u]), vs, pa.array(np.r_[n, np.zeros(len(u), np.int64)])], names=["u", "v", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, a = None, None
+        found: dict[int, int] = {}
+        forest = Forest()
         for batch in batches:
-            for r in range(batch.num_rows):
-                row = {c: batch.column(c)[r].as_py() for c in batch.schema.names}
-                dim, same = row["dim"], row["tile"] == row["tile_b"]
-                a, b = (np.frombuffer(row[c], np.float64).reshape(-1, dim) for c in ("rows", "rows_b"))
-                ids_a, n_a, ids_b, n_b = (np.frombuffer(row[c], np.int64) for c in ("ids", "counts", "ids_b", "counts_b"))
-                i, j = close_pairs(a, b, threshold, same)
+            for row in batch.to_pylist():
+                if row["tile"] != last:
+                    last, a = row["tile"], _load(row["file"], row["row"], row["dim"])
+                same = row["tile"] == row["tile_b"]
+                b = a if same else _load(row["file_b"], row["row_b"], row["dim"])
+                i, j = close_pairs(a[0], b[0], threshold, same)
                 if not len(i):
                     continue
-                more_a = np.bincount(i, n_b[j], len(a)).astype(np.int64)
-                more_b = np.bincount(j, n_a[i], len(b)).astype(np.int64)
-                # forest over places in the two tiles: each row to its first partner, then what that leaves apart
-                forest = Forest()
-                for x, y in zip(i.tolist(), (j if same else j + len(a)).tolist()):
+                for (_, ids, _), more in ((a, np.bincount(i, b[2][j], len(a[0]))), (b, np.bincount(j, a[2][i], len(b[0])))):
+                    for k in np.flatnonzero(more).tolist():
+                        found[int(ids[k])] = found.get(int(ids[k]), 0) + int(more[k])
+                for x, y in zip(a[1][i].tolist(), b[1][j].tolist()):
                     if forest.parent.get(x, -1) != forest.parent.get(y, -2):
                         forest.join(x, y)
-                u, v = forest.edges()
-                ids = ids_a if same else np.r_[ids_a, ids_b]
-                if same:
-                    more = more_a + more_b
-                else:
-                    more = np.r_[more_a, more_b]
-                linked = np.flatnonzero(more)
-                us, vs = np.r_[ids[linked], ids[u]], pa.concat_arrays([pa.nulls(len(linked), pa.int64()), pa.array(ids[v], pa.int64())])
-                counts = pa.array(np.r_[more[linked], np.zeros(len(u), np.int64)])
-                yield pa.RecordBatch.from_arrays([pa.array(us), vs, counts], names=["u", "v", "n"])
+                if len(found) > 200_000:
+                    yield finish(found, forest)
+                    found, forest = {}, Forest()
+        yield finish(found, forest)
 
     return run
 
@@ -225,13 +257,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
 
     near = distinct.select("id", "dim", "unit", "n").mapInArrow(nearest, "id long, dim int, unit binary, n long, pivot int")
     # ranges, not hashes: a crowded pivot spreads over tasks
-    near = near.repartitionByRange("dim", "pivot", F.xxhash64("unit")).sortWithinPartitions("dim", "pivot")
-    tiles = near.mapInArrow(_tiles, "tile long, dim int, centre binary, angle double, rows binary, ids binary, counts binary")
+    n_tasks = max(1, min(partitions(spark), -(-distinct.count() // TILE)))
+    near = materialise(near, "vec-pivots")
+    near = near.repartitionByRange(n_tasks, "dim", "pivot", F.xxhash64("unit")).sortWithinPartitions("dim", "pivot")
+    folder = scratch(spark, "tiles")
+    tiles = near.mapInArrow(_tiles(folder), "tile long, dim int, centre binary, angle double, file string, row int")
     tiles = materialise(tiles, "vec-tiles")
-    pairs = materialise(pair_tiles(tiles, threshold), "tile-pairs")
-    body = tiles.select("tile", "dim", "rows", "ids", "counts")
-    other = tiles.select(*[F.col(c).alias(f"{c}_b") for c in ("tile", "rows", "ids", "counts")])
-    both = pairs.join(body, "tile").join(other, "tile_b")
+    pairs = pair_tiles(tiles, threshold)
+    other = tiles.select(F.col("tile").alias("tile_b"), F.col("file").alias("file_b"), F.col("row").alias("row_b"))
+    both = materialise(pairs.join(tiles.select("tile", "dim", "file", "row"), "tile").join(other, "tile_b"), "tile-pairs")
+    n_pairs = both.count()
+    both = both.repartitionByRange(max(1, min(4 * partitions(spark), n_pairs)), "tile", "tile_b").sortWithinPartitions("tile", "tile_b")
     found = materialise(both.mapInArrow(_tile_links(threshold), "u long, v long, n long"), "vec-links")
     links = found.where("v is null").groupBy(F.col("u").alias("link_id")).agg(F.sum("n").alias("links"))
     roots = connected_components(found.where("v is not null").select("u", "v"))
