@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Fitting reads a sample of labelled rows, ``SAMPLE`` at most. Its vocabulary are the words that tell the labels apart
-(chi-square over all words of the sample); idf comes from the sample. Examples with the same vector are one entry with
+Fitting reads a sample of labelled rows, ``SAMPLE`` at most. Its vocabulary are the words, and beginnings of words,
+that tell the labels apart (chi-square over all of the sample); idf comes from the sample. Examples with the same vector are one entry with
 its counts of both labels, so ties at any distance vote together. Entries lie in blocks; an inverted index holds, for
 each word, its postings and its largest weight in each block. A document's blocks are visited by descending upper
 bound until no block can beat the entries found: the nearest are exact. Their votes, weighted by cosine, give the
@@ -28,6 +28,8 @@ from loomwork.llm.common import materialise
 SAMPLE = 20_000
 #: Words in the vocabulary at most, examples that must have a word, and the least chi-square of one.
 MAX_TERMS, MIN_EXAMPLES, MIN_CHI2 = 1024, 4, 30.0
+#: Characters of a word's beginnings, which stand for its inflections and compounds.
+BEGINNINGS = (4, 5, 6)
 NEAREST = 16
 BLOCK = 64
 #: Votes weigh cosine to this power; the prior weighs as one example at cosine 1.
@@ -37,8 +39,16 @@ PRIOR_WEIGHT = 1.0
 _word = re.compile(r"[^\W\d_]+")
 
 
-def words(text: str | None) -> list[str]:
-    return _word.findall((text or "").lower())
+def features(text: str | None) -> dict[str, int]:
+    """How often a text has each lower-cased word, and each beginning of longer words, marked with ``*``."""
+    found = Counter(_word.findall((text or "").lower()))
+    out = dict(found)
+    for w, n in found.items():
+        for size in BEGINNINGS:
+            if len(w) > size:
+                start = w[:size] + "*"
+                out[start] = out.get(start, 0) + n
+    return out
 
 
 @dataclass
@@ -61,7 +71,7 @@ class Index:
     def vector(self, text: str | None) -> tuple[tuple[int, int], ...]:
         """(term, count) pairs of a text, by term."""
         terms = self.terms
-        return tuple(sorted((terms[w], n) for w, n in Counter(words(text)).items() if w in terms))
+        return tuple(sorted((terms[w], n) for w, n in features(text).items() if w in terms))
 
     def weights(self, vector: tuple[tuple[int, int], ...]) -> np.ndarray:
         w = np.array([(1 + math.log(n)) * self.idf[t] for t, n in vector])
@@ -123,7 +133,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         total, bad = Counter(), Counter()
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            own = set(words(text))
+            own = features(text).keys()
             total.update(own)
             if toxic:
                 bad.update(own)
@@ -175,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_terms: int
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sorted((places[w], m) for w, m in Counter(words(t)).items() if w in places) for t in batch.column("text").to_pylist()]
+            found = [sorted((places[w], m) for w, m in features(t).items() if w in places) for t in batch.column("text").to_pylist()]
             own = [pa.array([[v[i] for v in f] for f in found], pa.list_(pa.int32())) for i in range(2)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *own, batch.column("toxic")], names=["doc_id", "terms", "counts", "toxic"])
 
