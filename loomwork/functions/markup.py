@@ -17,13 +17,13 @@ def _apply(text: Column, rules: list[tuple[str, str]]) -> Column:
     return text
 
 
-def clean_wikitext(text: Column, levels: int = LEVELS) -> Column:
-    """Dump wikitext as plain text: comments, references, tag blocks, templates, tables, links, quotes, entities."""
+def wikitext_rules(levels: int = LEVELS) -> list[tuple[str, str]]:
+    """Replacements, in order, for dump wikitext: comments, references, tag blocks, templates, tables, links, quotes, entities."""
     rules = [(r"(?s)<!--.*?-->", ""), (r"(?s)<ref[^>]*>.*?</ref>", ""), (r"<ref[^/]*/?\s*>", "")]
     rules += [(rf"(?s)<{t}[^>]*>.*?</{t}>", "") for t in lex.BLOCK_TAGS]
     rules += [(rf"(?s)<{t}>.*?</{t}>", "") for t in lex.BARE_BLOCK_TAGS]
     rules += [(r"\{\{[^{}]*\}\}", "")] * levels + [(r"\{\|[^{}]*\|\}", "")] * levels
-    rules += [
+    return rules + [
         (r"(?i)\[\[(?:Category|File|Image):[^\]]*\]\]", ""),
         (r"\[\[[^\]|]*\|([^\]]*)\]\]", "$1"),
         (r"\[\[([^\]]*)\]\]", "$1"),
@@ -41,26 +41,32 @@ def clean_wikitext(text: Column, levels: int = LEVELS) -> Column:
         (r"\n{3,}", "\n\n"),
         (r"  +", " "),
     ]
-    return strip(_apply(text, rules))
+
+
+#: The shorter list for pages fetched one by one: templates are peeled once.
+SIMPLE_RULES = [
+    (r"\{\{[^{}]*\}\}", ""),
+    (r"(?s)<ref[^>]*>.*?</ref>", ""),
+    (r"<ref[^>]*/?>", ""),
+    (r"<[^>]+>", ""),
+    (r"(?i)\[\[(?:File|Image):[^\]]*\]\]", ""),
+    (r"\[\[([^\]|]+)\|([^\]]+)\]\]", "$2"),
+    (r"\[\[([^\]]+)\]\]", "$1"),
+    (r"\[https?://[^\s]+\s*([^\]]*)\]", "$1"),
+    (r"'{2,}", ""),
+    (r"__[A-Z]+__", ""),
+    (r"\n{3,}", "\n\n"),
+    (r"  +", " "),
+]
+
+
+def clean_wikitext(text: Column, levels: int = LEVELS) -> Column:
+    """Dump wikitext as plain text."""
+    return strip(_apply(text, wikitext_rules(levels)))
 
 
 def clean_wikitext_simple(text: Column) -> Column:
-    """The shorter variant for pages fetched one by one: templates are peeled once."""
-    rules = [
-        (r"\{\{[^{}]*\}\}", ""),
-        (r"(?s)<ref[^>]*>.*?</ref>", ""),
-        (r"<ref[^>]*/?>", ""),
-        (r"<[^>]+>", ""),
-        (r"(?i)\[\[(?:File|Image):[^\]]*\]\]", ""),
-        (r"\[\[([^\]|]+)\|([^\]]+)\]\]", "$2"),
-        (r"\[\[([^\]]+)\]\]", "$1"),
-        (r"\[https?://[^\s]+\s*([^\]]*)\]", "$1"),
-        (r"'{2,}", ""),
-        (r"__[A-Z]+__", ""),
-        (r"\n{3,}", "\n\n"),
-        (r"  +", " "),
-    ]
-    return strip(_apply(text, rules))
+    return strip(_apply(text, SIMPLE_RULES))
 
 
 def strip(text: Column) -> Column:

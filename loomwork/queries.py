@@ -303,7 +303,43 @@ def text_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", *[scores[m].alias(m) for m in ("actionability", "coherence", "structure")])
 
 
-@query()
+#: Latin letters beyond ASCII become underscores, so that RE2's ASCII \\b falls where Unicode's does.
+LATIN = "regexp_replace({0}, '[À-ɏ]', '_', 'g')"
+
+
+def _found(column: str, pattern: str, flags: str = "c", group: int = 0) -> str:
+    plain = pattern.replace("(?i)", "").replace("'", "''")
+    return f"regexp_extract_all({LATIN.format(column)}, '{plain}', {group}, '{flags}')"
+
+
+def _specificity_sql(c: str) -> str:
+    numbers = f"len({_found(c, lexicons.UNIT_NUMBERS, 'i')}) + len({_found(c, lexicons.BARE_NUMBERS)})"
+    tokens = f"string_split(replace({LATIN.format(c)}, chr(10), chr(10)), ' ')"
+    caps = (
+        f"len(list_filter(list_zip({tokens}[2:], {tokens}[:-2]), lambda p: regexp_matches(p[1], '^[A-Z][a-z]+([^A-Za-z0-9_]|$)') "
+        f"AND regexp_matches(p[2], '[a-z.]$')))"
+    )
+    return f"round(least(1.0, (2 * ({numbers}) + {caps} + 3 * len({_found(c, lexicons.TECHNICAL)})) / 20.0), 3)::DOUBLE"
+
+
+def _coverage_sql(c: str, q: str) -> str:
+    found = f"list_concat({_found(q, lexicons.LOCATIONS, 'c', 1)}, list_concat({_found(f'lower({q})', lexicons.PRACTICES)}, list_concat({_found(f'lower({q})', lexicons.CROPS)}, list_concat({_found(f'lower({q})', lexicons.CONDITIONS)}, {_found(q, chr(92) + 'b' + chr(92) + 'd+' + chr(92) + 'b')}))))"
+    return f"CASE WHEN len({found}) = 0 THEN 0.5 ELSE len(list_filter({found}, lambda x: contains(lower({c}), lower(x))))::DOUBLE / len({found}) END"
+
+
+def _metrics_sql(c: str, q: str) -> str:
+    """All metrics of a text, as columns."""
+    words = f"len(list_filter(regexp_split_to_array({c}, '\\s+'), lambda w: w <> ''))"
+    sentences = f"greatest(1, len(regexp_extract_all({c}, '[.!?]+(?:\\s|$)')))"
+    proof = " + ".join(_count(p.replace("(?i)", ""), "i", c) for p in lexicons.EVIDENCE)
+    lines = f"3 * {_count('^#{1,3}[ ' + chr(92) + 't' + chr(92) + 'n' + chr(92) + 'f' + chr(92) + 'r' + chr(92) + 'v]', 'm', c)} + {_count('^' + chr(92) + 's*[0-9]+[' + chr(92) + '.' + chr(92) + ')]' + chr(92) + 's', 'm', c)} + {_count('^' + chr(92) + 's*[-*•]' + chr(92) + 's', 'm', c)} + {_count(lexicons.BOLD, 'c', c)}"
+    return f"""{words} AS word_count, {sentences} AS sentence_count, round({words}::DOUBLE / {sentences}, 1) AS avg_sent_len,
+  {_specificity_sql(c)} AS specificity, round(least(1.0, ({proof}) / 5.0), 3)::DOUBLE AS evidence,
+  round(least(1.0, {_words(lexicons.IMPERATIVES, c)} / 15.0), 3)::DOUBLE AS actionability, round(least(1.0, {_words(lexicons.CONNECTIVES, c)} / 8.0), 3)::DOUBLE AS coherence,
+  round(least(1.0, ({lines}) / 15.0), 3)::DOUBLE AS structure, CASE WHEN {q} = '' THEN 0 ELSE round({_coverage_sql(c, q)}, 3) END::DOUBLE AS constraint_coverage"""
+
+
+@query(f"SELECT doc_id, {_specificity_sql('text')} AS specificity FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)")
 def specificity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.round(text.specificity(F.col("text")), 3).alias("specificity"))
 
@@ -339,17 +375,27 @@ def paired_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+WEIGHTED = "round(" + " + ".join(f"{w} * {m}" for m, w in lexicons.COMPARISON_WEIGHTS.items()) + ", 3)"
+SCORED = f"""{PAIRS}, after_scores AS (SELECT row_number() OVER () AS id, {_metrics_sql('enhanced_text', 'question')}, original_text, question FROM pairs),
+before_scores AS (SELECT id AS before_id, {_metrics_sql('original_text', 'question')} FROM after_scores),
+after_all AS (SELECT *, {WEIGHTED} AS overall FROM after_scores), before_all AS (SELECT *, {WEIGHTED} AS overall FROM before_scores)"""
+
+
+@query(f"WITH {SCORED} " + " UNION ALL ".join(
+    f"SELECT '{m}' AS metric, round(avg(b.{m}), 6)::DOUBLE AS original_mean, round(avg(a.{m}), 6)::DOUBLE AS enhanced_mean, round(round(avg(a.{m}), 6) - round(avg(b.{m}), 6), 6)::DOUBLE AS delta FROM after_all a JOIN before_all b ON a.id = b.before_id"
+    for m in (*comparison.METRICS, "overall")
+))
 def paired_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparison.means(comparison.scored(_pairs(spark, sf_dir)))
 
 
-@query()
+@query(f"""WITH {SCORED} SELECT count(*) FILTER (a.overall > b.overall) AS wins, count(*) FILTER (b.overall > a.overall) AS losses, count(*) FILTER (a.overall = b.overall) AS ties
+FROM after_all a JOIN before_all b ON a.id = b.before_id""")
 def win_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparison.win_counts(comparison.scored(_pairs(spark, sf_dir)))
 
 
-@query()
+@query(f"WITH {PAIRS} SELECT md5(question) AS question_md5, round({_coverage_sql('enhanced_text', 'question')}, 6)::DOUBLE AS coverage FROM pairs")
 def constraint_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _pairs(spark, sf_dir)
     return rows.select(F.md5(F.col("question").cast("binary")).alias("question_md5"), F.round(text.constraint_coverage(F.col("enhanced_text"), F.col("question")), 6).alias("coverage"))
@@ -401,7 +447,9 @@ def html_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", F.md5(F.col("t").cast("binary")).alias("text_md5"), F.char_length("t").alias("n"))
 
 
-@query()
+@query("""SELECT page_id, 0 AS section, 'Main' AS title, md5(t) AS text_md5 FROM (
+  SELECT page_id, html, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'), ' ') AS t FROM pages)
+WHERE len(html) >= 500 AND len(t) >= 200 AND NOT regexp_matches(html, '<h[23]')""")
 def html_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "pages").select("page_id", F.posexplode(markup.html_sections(F.col("html"))).alias("n", "s"))
     return rows.select("page_id", F.col("n").alias("section"), "s.title", F.md5(F.col("s.text").cast("binary")).alias("text_md5"))
@@ -416,7 +464,14 @@ def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 WIKI = r"""{{Infobox {{nested|x}} }}<!-- c -->'''Bold''' [[Category:X]] [[a b|shown]] [[plain]] [https://e.org site] <ref name="r">gone</ref>{| t |} &amp; &nbsp;"""
 
 
-@query()
+def _rules_sql(column: str, rules: list[tuple[str, str]]) -> str:
+    for pattern, with_ in rules:
+        column = f"regexp_replace({column}, '{pattern.replace(chr(39), chr(39) * 2)}', '{with_.replace('$', chr(92))}', 'g')"
+    return f"regexp_replace({column}, '^\\s+|\\s+$', '', 'g')"
+
+
+@query(f"""SELECT doc_id, md5({_rules_sql('m', markup.wikitext_rules())}) AS text_md5, md5({_rules_sql('m', markup.SIMPLE_RULES)}) AS simple_md5
+FROM (SELECT doc_id, '{WIKI.replace(chr(39), chr(39) * 2)}' || chr(10) || '== ' || source || ' ==' || chr(10) || text AS m FROM documents)""")
 def wikitext_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = F.concat(F.lit(WIKI), F.lit("\n== "), F.col("source"), F.lit(" ==\n"), F.col("text"))
     rows = table(spark, sf_dir, "documents").select("doc_id", markup.clean_wikitext(marked).alias("t"), markup.clean_wikitext_simple(marked).alias("s"))
@@ -577,7 +632,9 @@ def judge_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("conv_id", "turn", parsing.judge_score(F.col("a")).alias("score"))
 
 
-@query()
+@query(f"""WITH {STEPS_SQL} SELECT conv_id, 'done' AS thought, 'FINISH' AS action, count(*)::INTEGER AS n, md5(string_agg(
+  'Step ' || turn || ' [' || type || ']: ' || content || ' (confidence: ' || confidence || ')' || CASE WHEN coalesce(evidence, '') <> '' THEN chr(10) || '  Evidence: ' || evidence ELSE '' END, chr(10) ORDER BY turn)) AS text_md5
+FROM steps GROUP BY conv_id""")
 def response_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chains written as answers and read back."""
     rows = _chains(spark, sf_dir)
