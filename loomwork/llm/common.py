@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,27 +12,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomwork.operators.durable import materialise, scratch  # noqa: F401  the operators take them from here
+
 #: A word in every contract: a run of characters that are neither space nor \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that spark.checkpoint.dir names; a temporary one only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + os.path.join(tempfile.gettempdir(), "loomwork-scratch")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/loomwork/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, written as Parquet to the shared folder and read again: lineage ends here."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
