@@ -15,7 +15,6 @@ def scratch(spark: SparkSession, name: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = "file://" + os.path.join(tempfile.gettempdir(), "loomwork-scratch")
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/loomwork/{name}-{uuid.uuid4().hex}"
 
 
