@@ -12,7 +12,8 @@ earlier batch holds its words, or a document of the same batch with a smaller do
    first hashes become a new run; when FANOUT runs of a level exist, they are merged into one of the next level.
 4. Each chunk joins its copies to spans that have one source document, removes the words they cover, and asks the
    source's chunk to compare: a digest of the span's words against one of the source's words. Equal requests are asked
-   once. A span that differs (a hash collision) is resolved exactly by its words.
+   once. A span that differs is asked window by window; a window that differs (a hash collision) is resolved exactly by
+   its words.
 """
 
 from __future__ import annotations
@@ -36,9 +37,9 @@ from loomwork.llm.common import materialise, partitions, scratch
 
 WINDOW = 13
 #: Words in a chunk, about; a longer document is a chunk of its own.
-CHUNK_WORDS = 1 << 21
+CHUNK_WORDS = 1 << 20
 #: Hash bits beyond those that number all windows: one window in 2**SPARE_BITS meets another's hash by chance.
-SPARE_BITS = 20
+SPARE_BITS = 28
 #: Runs of a level that are merged into one of the next.
 FANOUT = 4
 #: Stands for a null doc_id: after all others.
@@ -125,13 +126,13 @@ class Chunk:
     def distinct(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct hashes, ascending, and the smallest document of each; each window's place among them."""
         h, doc, first = self.hashes(bits)
-        order = np.argsort(h, kind="stable")
+        order = np.argsort(h)
         sorted_h = h[order]
         new = np.r_[True, sorted_h[1:] != sorted_h[:-1]] if len(h) else np.zeros(0, bool)
         place = np.empty(len(h), np.int64)
         place[order] = np.cumsum(new) - 1
-        heads = order[new]
-        return sorted_h[new], doc[heads], place, h, doc, first
+        least = np.minimum.reduceat(doc[order], np.flatnonzero(new)) if len(h) else doc
+        return sorted_h[new], least, place, h, doc, first
 
     def text(self, a: int, b: int) -> bytes:
         words = self.words
@@ -224,7 +225,7 @@ def store_chunks(docs: DataFrame, bounds: list[int]) -> Store:
 
 # --- the index
 
-_HASHES = "bucket int, kind int, chunk long, n long, hashes binary, docs binary, chunks binary"
+_HASHES = "bucket int, kind int, chunk long, n long, hashes binary, docs binary, chunks binary, file string"
 _RUN_NAMES = [x.split()[0] for x in _HASHES.split(", ")]
 
 
@@ -232,7 +233,9 @@ def _rows(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.R
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
-_RUN_KINDS = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+_RUN_KINDS = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.string()]
+#: What a run's file holds of each of its buckets.
+_SEGMENT = pa.schema([("hashes", pa.binary()), ("docs", pa.binary()), ("chunks", pa.binary())])
 
 
 def _send(bits: int, bucket_bits: int):
@@ -249,26 +252,39 @@ def _send(bits: int, bucket_bits: int):
                 for bucket, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
                     if b > a:
                         low = hashes[a:b] - np.uint64(bucket << (bits - bucket_bits))
-                        out.append((bucket, 1, number, b - a, squeeze_sorted(low), squeeze_ids(docs[a:b]), None))
+                        out.append((bucket, 1, number, b - a, squeeze_sorted(low), squeeze_ids(docs[a:b]), None, None))
                 yield _rows(out, _RUN_NAMES, _RUN_KINDS)
 
     return run
 
 
-def _merge(write_run: bool, answer: bool):
-    """Buckets' rows, runs (kind 0) and chunks (kind 1), to answers (kind 2) and, if asked for, the new run (kind 0)."""
+def _segment(row: dict) -> dict:
+    """A run's row with its segment, which lies in a file at the place that ``chunk`` tells."""
+    store, path = pa.fs.FileSystem.from_uri(row["file"])
+    with store.open_input_file(path) as source, pa.ipc.open_file(source) as reader:
+        batch = reader.get_batch(row["chunk"])
+    return row | {name: batch.column(name)[0].as_py() for name in _SEGMENT.names}
+
+
+def _merge(folder: str | None, answer: bool):
+    """Buckets' rows, segments of runs (kind 0) and chunks' hashes (kind 1), to answers (kind 2); with a folder, also to
+    the segments of a new run there: of the batch's new hashes or, without answers, of all."""
 
-    def bucket_rows(rows: list[dict]) -> list[tuple]:
-        old = [r for r in rows if r["kind"] == 0]
+    def merged(rows: list[dict]) -> tuple[list[tuple], tuple | None]:
+        old = [_segment(r) for r in rows if r["kind"] == 0]
         new = [r for r in rows if r["kind"] == 1]
         parts = [*old, *new]
         h = np.concatenate([unsqueeze_sorted(r["hashes"], r["n"]) for r in parts])
         docs = np.concatenate([unsqueeze_ids(r["docs"], r["n"]) for r in parts])
         chunks = np.concatenate([unsqueeze_ids(r["chunks"], r["n"]) if r["kind"] == 0 else np.full(r["n"], r["chunk"]) for r in parts])
         recent = np.repeat([0] * len(old) + [1] * len(new), [r["n"] for r in parts])
-        order = np.lexsort((chunks, docs, recent, h))  # what is in the index comes before the batch, then by doc_id
+        order = np.argsort(h)
         sorted_h = h[order]
         new_hash = np.r_[True, sorted_h[1:] != sorted_h[:-1]]
+        # among equal hashes, what is in the index comes before the batch, then by doc_id
+        tied = np.flatnonzero(~new_hash | np.r_[~new_hash[1:], False])
+        some = order[tied]
+        order[tied] = some[np.lexsort((chunks[some], docs[some], recent[some], h[some]))]
         head = order[new_hash]
         first = np.empty(len(h), np.int64)
         first[order] = head[np.cumsum(new_hash) - 1]
@@ -281,30 +297,49 @@ def _merge(write_run: bool, answer: bool):
                 hit = np.flatnonzero((recent[source] == 0) | (docs[source] < docs[mine]))
                 if len(hit):
                     s = source[hit]
-                    out.append((bucket, 2, r["chunk"], len(hit), squeeze_sorted(hit), squeeze_ids(docs[s]), squeeze_ids(chunks[s])))
+                    out.append((bucket, 2, r["chunk"], len(hit), squeeze_sorted(hit), squeeze_ids(docs[s]), squeeze_ids(chunks[s]), None))
                 at += r["n"]
-        if write_run:
-            keep = head if not answer else head[recent[head] == 1]
-            if len(keep):
-                out.append((bucket, 0, None, len(keep), squeeze_sorted(h[keep]), squeeze_ids(docs[keep]), squeeze_ids(chunks[keep])))
-        return out
+        keep = head if not answer else head[recent[head] == 1]
+        segment = (squeeze_sorted(h[keep]), squeeze_ids(docs[keep]), squeeze_ids(chunks[keep])) if folder and len(keep) else None
+        return out, (bucket, len(keep), segment) if segment else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[dict] = []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if waiting and row["bucket"] != waiting[0]["bucket"]:
-                    yield _rows(bucket_rows(waiting), _RUN_NAMES, _RUN_KINDS)
-                    waiting = []
-                waiting.append(row)
-        if waiting:
-            yield _rows(bucket_rows(waiting), _RUN_NAMES, _RUN_KINDS)
+        def groups() -> Iterator[list[dict]]:
+            waiting: list[dict] = []
+            for batch in batches:
+                for row in batch.to_pylist():
+                    if waiting and row["bucket"] != waiting[0]["bucket"]:
+                        yield waiting
+                        waiting = []
+                    waiting.append(row)
+            if waiting:
+                yield waiting
+
+        if not folder:
+            for rows in groups():
+                yield _rows(merged(rows)[0], _RUN_NAMES, _RUN_KINDS)
+            return
+        store, root = pa.fs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        name, made = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.arrow", 0
+        with store.open_output_stream(f"{root}/{name}") as sink, pa.ipc.new_file(sink, _SEGMENT) as writer:
+            for rows in groups():
+                out, kept = merged(rows)
+                if kept:
+                    bucket, n, segment = kept
+                    writer.write_batch(pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in segment], schema=_SEGMENT))
+                    out.append((bucket, 0, made, n, None, None, None, f"{folder}/{name}"))
+                    made += 1
+                yield _rows(out, _RUN_NAMES, _RUN_KINDS)
 
     return run
 
 
 class Index:
-    """Runs of earlier batches' window hashes, by level; each run is a Parquet table sorted by bucket and hash."""
+    """Runs of earlier batches' window hashes, by level: immutable files of segments, one per bucket, sorted by hash.
+
+    Only rows that tell where segments lie are shuffled; whoever merges a bucket reads its segments in place.
+    """
 
     def __init__(self, spark: SparkSession, bits: int) -> None:
         self.spark, self.bits = spark, bits
@@ -323,7 +358,8 @@ class Index:
         rows = chunks.repartition(n, "chunk").mapInArrow(_send(self.bits, self.bucket_bits), _HASHES)
         for r in self.runs():
             rows = rows.union(r)
-        rows = materialise(self._by_bucket(rows).mapInArrow(_merge(keep, True), _HASHES), "substring-merge")
+        folder = scratch(self.spark, "run") if keep else None
+        rows = materialise(self._by_bucket(rows).mapInArrow(_merge(folder, True), _HASHES), "substring-merge")
         if keep:
             self._append(rows.where("kind = 0"), 0)
         return rows.where("kind = 2")
@@ -337,7 +373,7 @@ class Index:
             for r in self.levels[level][1:]:
                 rows = rows.union(r)
             self.levels[level] = []
-            merged = self._by_bucket(rows).mapInArrow(_merge(True, False), _HASHES)
+            merged = self._by_bucket(rows).mapInArrow(_merge(scratch(self.spark, "run"), False), _HASHES)
             self._append(materialise(merged, f"substring-run-{level + 1}"), level + 1)
 
 
@@ -437,7 +473,7 @@ def _verify(bits: int):
                 if chunk is None:
                     chunk = load(place["file"], place["row"])
                     h, doc, first = chunk.hashes(bits)
-                    order = np.argsort(h, kind="stable")
+                    order = np.argsort(h)
                     known = h[order], doc[order], first[order]
                 key = np.int64(row["first_hash"]).view(np.uint64)
                 a, b = np.searchsorted(known[0], key, side="left"), np.searchsorted(known[0], key, side="right")
@@ -452,6 +488,35 @@ def _verify(bits: int):
     return run
 
 
+_SPAN = "chunk long, doc long, start long, n long, source_chunk long, source_doc long, first_hash long, digest binary"
+_SPAN_NAMES = [x.split()[0] for x in _SPAN.split(", ")]
+
+
+def _singles(bits: int):
+    """Rows of a chunk, its place (kind 0) and spans (kind 1), to the spans' windows as spans of their own."""
+    kinds = [*[pa.int64()] * 7, pa.binary()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, chunk = None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["kind"] == 0:
+                    place, chunk = row, None
+                    continue
+                if chunk is None:
+                    chunk = load(place["file"], place["row"])
+                    h, _, first = chunk.hashes(bits)
+                at = np.searchsorted(first, row["start"]) + np.arange(row["n"])
+                for some in np.array_split(at, max(1, len(at) // 50_000)):
+                    out = []
+                    for i in some.tolist():
+                        a = int(first[i])
+                        out.append((row["chunk"], row["doc"], a, 1, row["source_chunk"], row["source_doc"], int(h[i].view(np.int64)), _digest(chunk.text(a, a + WINDOW))))
+                    yield _rows(out, _SPAN_NAMES, kinds)
+
+    return run
+
+
 def _by_chunk(places: DataFrame, rows: DataFrame, chunk: str, n: int) -> DataFrame:
     """Rows of a chunk behind the row that says where it lies."""
     there = places.select(F.col("chunk").alias(chunk), "file", "row", F.lit(0).alias("kind"))
@@ -544,6 +609,15 @@ def _exactly(store: Store, bits: int, spans: DataFrame, bad: DataFrame, text: bo
     return _by_chunk(places, rows, "chunk", n).mapInArrow(_redo(text), _OUT)
 
 
+def _differing(places: DataFrame, spans: DataFrame, bits: int, n: int) -> DataFrame:
+    """What spans ask of their sources and the sources deny; equal requests are asked once."""
+    asked = spans.select("source_chunk", "source_doc", "first_hash", "n", "digest").distinct().withColumn("kind", F.lit(1))
+    bad = _by_chunk(places, asked, "source_chunk", n).mapInArrow(
+        _verify(bits), "source_chunk long, source_doc long, first_hash long, n long, digest binary"
+    )
+    return materialise(bad, "substring-differing")
+
+
 def dedup(docs: DataFrame, batches: int = 2, bits: int | None = None, text: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) for every row of ``docs`` (doc_id, text).
 
@@ -573,13 +647,16 @@ def dedup(docs: DataFrame, batches: int = 2, bits: int | None = None, text: bool
     places = store.manifest.select("chunk", "batch", "file", "row")
     rows = _by_chunk(places, answers, "chunk", n).mapInArrow(_remove(bits, index.bucket_bits, text), _OUT)
     rows = materialise(rows, "substring-removed")
-    spans = rows.where("kind = 1").select("chunk", "doc", "start", "n", "source_chunk", "source_doc", "first_hash", "digest")
-    asked = spans.select("source_chunk", "source_doc", "first_hash", "n", "digest").distinct().withColumn("kind", F.lit(1))
-    bad = _by_chunk(places, asked, "source_chunk", n).mapInArrow(
-        _verify(bits), "source_chunk long, source_doc long, first_hash long, n long, digest binary"
-    )
-    bad = materialise(bad, "substring-differing")
+    spans = rows.where("kind = 1").select(*_SPAN_NAMES)
     done = rows.where("kind = 0")
+    bad = _differing(places, spans, bits, n)
+    if not bad.isEmpty():
+        # a span may run on where its source does not: its windows are verified one by one
+        key = bad.columns
+        apart = spans.join(bad, key, "left_semi").withColumn("kind", F.lit(1))
+        apart = materialise(_by_chunk(places, apart, "chunk", n).mapInArrow(_singles(bits), _SPAN), "substring-singles")
+        spans = spans.join(bad, key, "left_anti").unionByName(apart)
+        bad = _differing(places, apart, bits, n)
     if not bad.isEmpty():
         again = materialise(_exactly(store, bits, spans, bad, text, n), "substring-exact")
         done = done.join(again.select("chunk", "doc"), ["chunk", "doc"], "left_anti").unionByName(again)
