@@ -286,3 +286,18 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         component.alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+OP3_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach(vec_id, r) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.vec_id, links.y FROM reach JOIN links ON reach.r = links.x
+), least AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM least LEFT JOIN counts USING (vec_id)
+"""

@@ -61,4 +61,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": mixing.OP1_SQL, "op6_lines": lines.OP6_SQL}
+    return {
+        "op1_mix": mixing.OP1_SQL,
+        "op3_embeddings": embeddings.OP3_SQL,
+        "op4_substrings": substrings.OP4_SQL,
+        "op6_lines": lines.OP6_SQL,
+    }

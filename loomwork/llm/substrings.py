@@ -661,3 +661,17 @@ def dedup(docs: DataFrame, batches: int = 2, bits: int | None = None, text: bool
         again = materialise(_exactly(store, bits, spans, bad, text, n), "substring-exact")
         done = done.join(again.select("chunk", "doc"), ["chunk", "doc"], "left_anti").unionByName(again)
     return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP4_SQL = r"""
+WITH cut AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS body FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM cut)),
+firsts AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY body) < doc_id AS copy FROM windows),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM firsts WHERE copy),
+words AS (SELECT doc_id, w[i] AS word, i FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM cut)),
+kept AS (
+  SELECT x.doc_id, count(*) AS n_words, count(g.i) AS n_removed, string_agg(CASE WHEN g.i IS NULL THEN x.word END, ' ' ORDER BY x.i) AS body
+  FROM words x LEFT JOIN gone g ON x.doc_id = g.doc_id AND x.i = g.i GROUP BY x.doc_id)
+SELECT c.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM cut c LEFT JOIN kept k ON c.doc_id = k.doc_id
+"""
