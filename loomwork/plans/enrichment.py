@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.functions import chains, parsing, schemas
+from loomwork.functions import chains, parsing, prompts, schemas
 from loomwork.operators import chain_ops
 from loomwork.operators.durable import materialise
 from loomwork.plans.models import Chat, answered
@@ -113,8 +113,8 @@ def review(items: DataFrame, models: Models, feedback: Column | None = None) ->
         rows = rows.withColumn("facts", F.lit(None).cast("string"))
     rows = rows.withColumn("p", F.concat(F.lit("Check against the evidence, list issues as a JSON array.\n"), text, F.lit("\n"), F.coalesce("facts", F.lit("No fact-check evidence retrieved."))))
     rows = materialise(answered(rows, "p", "external", models.reviewer).drop("p", "facts"), "critiques")
-    external = F.when(F.col("difficulty") == "easy", F.lit("No issues found.")).otherwise(F.coalesce(F.to_json(parsing.issues(F.col("external"))), F.lit("No issues found.")))
-    logic = F.coalesce(F.to_json(parsing.issues(F.col("logic"))), F.lit("No issues found."))
+    external = F.when(F.col("difficulty") == "easy", F.lit("No issues found.")).otherwise(prompts.critique_text(parsing.issues(F.col("external"))))
+    logic = prompts.critique_text(parsing.issues(F.col("logic")))
     rows = rows.withColumn("p", F.concat(F.lit("Join the critiques into actions, as JSON.\n"), logic, F.lit("\n"), external, feedback if feedback is not None else F.lit("")))
     return answered(rows, "p", "said", models.reviewer).withColumn("unified", parsing.unified_actions(F.col("said"))).drop("p", "said", "logic", "external")
 
@@ -165,7 +165,8 @@ def run(items: DataFrame, models: Models, done: DataFrame | None = None, hard_be
     first = materialise(evaluate(revise(materialise(review(rows, models), "reviewed")), models), "evaluated")
     again = chains.needs_retry(F.col("difficulty"), F.col("scores.overall"), F.col("scores.faithfulness"), hard_below, medium_below)
     kept, retry = first.where(~again), first.where(again)
-    note = F.concat(F.lit("\nScores so far: "), F.to_json("scores"))
+    notes = F.lit(None).cast("array<struct<step: int, issue: string, assessment: string>>")
+    note = prompts.feedback_text(F.col("scores"), notes, notes)
     retry = retry.withColumn("steps", F.col("revised"))
     second = evaluate(revise(materialise(review(retry.drop("unified", "revised"), models, note).drop("scores"), "reviewed-again")), models)
     return kept.withColumn("retried", F.lit(False)).unionByName(second.withColumn("retried", F.lit(True)))
