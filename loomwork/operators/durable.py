@@ -10,12 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that spark.checkpoint.dir names; a temporary one only where it is unset."""
+def folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder that spark.checkpoint.dir names; a temporary one only where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = "file://" + os.path.join(tempfile.gettempdir(), "loomwork-scratch")
-    return f"{root.rstrip('/')}/loomwork/{name}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/loomwork/{spark.sparkContext.applicationId}"
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path there."""
+    return f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes what the application has written there; tables that still read it can no longer be read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
