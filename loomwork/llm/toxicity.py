@@ -4,7 +4,7 @@ Fitting reads a sample of labelled rows, ``SAMPLE`` at most. Its vocabulary are
 that tell the labels apart (chi-square over all of the sample); idf comes from the sample. Examples with the same vector are one entry with
 its counts of both labels, so ties at any distance vote together. Entries lie in blocks; an inverted index holds, for
 each word, its postings and its largest weight in each block. A document's blocks are visited by descending upper
-bound until no block can beat the entries found: the nearest are exact. Their votes, weighted by cosine, give the
+bound, a few and then twice as many at a time, until no block can beat the entries found: the nearest are exact. Their votes, weighted by cosine, give the
 score; the share of toxic examples is the prior that calibrates it, and the share among examples without any word of
 the vocabulary is the score of documents without one.
 """
@@ -59,10 +59,10 @@ class Index:
     counts: np.ndarray
     toxic: np.ndarray
     example: np.ndarray
-    #: postings by term: entry and weight, and where each term's begin
+    #: postings by term and entry: entry and weight, and where those of each term and block begin
     entry: np.ndarray
     weight: np.ndarray
-    start: np.ndarray
+    block_start: np.ndarray
     block_max: np.ndarray
     prior: float
     empty_share: float
@@ -74,27 +74,37 @@ class Index:
         return tuple(sorted((terms[w], n) for w, n in features(text).items() if w in terms))
 
     def weights(self, vector: tuple[tuple[int, int], ...]) -> np.ndarray:
-        w = np.array([(1 + math.log(n)) * self.idf[t] for t, n in vector])
+        term, n = np.array(vector).T
+        w = (1 + np.log(n)) * self.idf[term]
         return w / math.sqrt(float(w @ w))
 
     def nearest(self, vector: tuple[tuple[int, int], ...], k: int = NEAREST) -> tuple[np.ndarray, np.ndarray]:
         """The k entries of largest cosine above 0, and their cosines; entry order breaks ties."""
         query = self.weights(vector)
-        terms = [t for t, _ in vector]
+        terms = np.array([t for t, _ in vector])
         bound = query @ self.block_max[terms]
+        order = np.argsort(-bound, kind="stable")
         best_entry, best = np.empty(0, np.int64), np.empty(0)
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or (len(best) >= k and bound[block] < best[k - 1] - 1e-12):
+        at, size = 0, 4
+        while at < len(order):
+            blocks = order[at : at + size]
+            least = max(1e-15, best[k - 1] - 1e-12) if len(best) >= k else 1e-15
+            blocks = blocks[bound[blocks] >= least]
+            if not len(blocks):
                 break
-            scores = np.zeros(BLOCK)
-            for t, q in zip(terms, query):
-                a, b = self.start[t], self.start[t + 1]
-                i, j = a + np.searchsorted(self.entry[a:b], (block * BLOCK, (block + 1) * BLOCK))
-                scores[self.entry[i:j] - block * BLOCK] += q * self.weight[i:j]
+            begin, end = self.block_start[terms][:, blocks], self.block_start[terms][:, blocks + 1]
+            counts = (end - begin).ravel()
+            upto = np.cumsum(counts)
+            place = np.arange(upto[-1]) + np.repeat(begin.ravel() - (upto - counts), counts)
+            slot = np.repeat(np.tile(np.arange(len(blocks)), len(terms)), counts) * BLOCK + self.entry[place] % BLOCK
+            weight = self.weight[place] * np.repeat(np.repeat(query, len(blocks)), counts)
+            scores = np.bincount(slot, weight, len(blocks) * BLOCK)
             some = np.flatnonzero(scores > 0)
-            best_entry, best = np.r_[best_entry, some + block * BLOCK], np.r_[best, scores[some]]
-            order = np.lexsort((best_entry, -best))[:k]
-            best_entry, best = best_entry[order], best[order]
+            best_entry = np.r_[best_entry, blocks[some // BLOCK] * BLOCK + some % BLOCK]
+            best = np.r_[best, scores[some]]
+            first = np.lexsort((best_entry, -best))[:k]
+            best_entry, best = best_entry[first], best[first]
+            at, size = at + size, size * 2
         return best_entry, best
 
     def score(self, text: str | None) -> tuple[float, list[tuple[int, float, float]]]:
@@ -103,7 +113,7 @@ class Index:
         if not vector:
             return self.empty_share, []
         if vector not in self.known:
-            if len(self.known) > 100_000:
+            if len(self.known) > 20_000:
                 self.known.clear()
             entry, cosine = self.nearest(vector)
             vote = np.minimum(cosine, 1.0) ** POWER
@@ -161,8 +171,11 @@ def build(examples: list[tuple[int, tuple[tuple[int, int], ...], int]], terms: l
     term = np.array([r[0] for r in rows], np.int64)
     index.entry = np.array([r[1] for r in rows], np.int64)
     index.weight = np.array([r[2] for r in rows], np.float64)
-    index.start = np.searchsorted(term, np.arange(len(terms) + 1))
-    index.block_max = np.zeros((len(terms), -(-len(vectors) // BLOCK)))
+    blocks = -(-len(vectors) // BLOCK)
+    index.block_max = np.zeros((len(terms), blocks))
+    # in the order of (term, entry), postings of a term and block are a range
+    where = term * (blocks + 1) + index.entry // BLOCK
+    index.block_start = np.searchsorted(where, np.arange(len(terms) * (blocks + 1))).reshape(len(terms), blocks + 1)
     np.maximum.at(index.block_max, (term, index.entry // BLOCK), index.weight)
     return index
 
