@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +19,14 @@ from loomwork.operators.durable import materialise, scratch  # noqa: F401  the o
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def give_back() -> None:
+    """Hands memory that earlier work has freed back to the system: Python workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

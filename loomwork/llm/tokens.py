@@ -9,16 +9,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from loomwork.llm.common import give_back
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Parts of words whose ids a Python worker keeps; beyond it starts anew. Bounds memory, changes no result.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 #: New parts that are encoded as one text.
 JOINED = 2048
 #: What marks a word's last token.
 END = "</w>"
 #: Bytes of text that are split into words at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 6 << 20
 
 
 def default_vocabulary() -> str:
@@ -169,6 +171,7 @@ class Encoder:
         """(number of texts, their ids in a row, offsets of the texts in it), slice after slice."""
         if not len(texts):
             return
+        give_back()
         sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
         cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES)) + 1
         for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(texts)]):
