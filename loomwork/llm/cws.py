@@ -77,7 +77,8 @@ def likeness(left: list, right: list) -> F.Column:
 
 def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """(doc_id, fingerprint) for every row of ``docs`` (doc_id, text); null and empty texts have all zeros."""
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.explode(text_words(F.coalesce("text", F.lit("")))).alias("word"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.monotonically_increasing_id())
+    rows = rows.select("row", "doc_id", F.explode(text_words(F.col("text"))).alias("word"))
     terms = rows.groupBy("row", "doc_id", F.xxhash64("word").alias("h"), F.col("word").isNull().alias("none")).agg(F.count("*").alias("weight"))
     terms = terms.select("row", "doc_id", F.when(~F.col("none"), F.col("h")).alias("term"), "weight")
     return signatures(terms, ["row", "doc_id"], samples).select("doc_id", fingerprint(samples).alias("fingerprint"))
