@@ -1,12 +1,14 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Fitting reads a sample of labelled rows, ``SAMPLE`` at most. Its vocabulary are the words, and beginnings of words,
-that tell the labels apart (chi-square over all of the sample); idf comes from the sample. Examples with the same vector are one entry with
-its counts of both labels, so ties at any distance vote together. Entries lie in blocks; an inverted index holds, for
-each word, its postings and its largest weight in each block. A document's blocks are visited by descending upper
-bound, a few and then twice as many at a time, until no block can beat the entries found: the nearest are exact. Their votes, weighted by cosine, give the
-score; the share of toxic examples is the prior that calibrates it, and the share among examples without any word of
-the vocabulary is the score of documents without one.
+Fitting reads a sample of labelled rows, ``SAMPLE`` at most. Terms are words, beginnings of words, and beginnings that a
+text repeats. Plain TF-IDF over all of them finds texts on the same subject, not of the same label, so the cosine is
+taken over the terms that tell the labels apart: those whose chi-square over the sample no term would reach by chance,
+however many terms there are. idf comes from the sample. Examples with the same vector are one entry with its counts of
+both labels, so ties at any distance vote together. Entries lie in blocks; an inverted index holds, for each term, its
+postings and its largest weight in each block. A document's blocks are visited by descending upper bound, a few and then
+twice as many at a time, until no block can beat the entries found: the nearest are exact. Their votes, weighted by
+cosine, give the score; the share of toxic examples is the prior that calibrates it, and the share among examples
+without any of the terms is the score of documents without one.
 """
 
 from __future__ import annotations
@@ -24,12 +26,14 @@ from pyspark.sql import functions as F
 
 from loomwork.llm.common import materialise
 
-#: Labelled rows that are read for fitting, at most; chosen by a hash of their ids.
+#: Labelled documents that are read for fitting, at most; chosen by a hash of their ids.
 SAMPLE = 20_000
-#: Words in the vocabulary at most, examples that must have a word, and the least chi-square of one.
-MAX_TERMS, MIN_EXAMPLES, MIN_CHI2 = 1024, 4, 30.0
+#: Terms at most, and examples that must have a term.
+MAX_TERMS, MIN_EXAMPLES = 8192, 4
 #: Characters of a word's beginnings, which stand for its inflections and compounds.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (3, 4, 5, 6)
+#: How often a text has a beginning, at least, for one more term.
+REPEATS = (2, 3, 4, 6)
 NEAREST = 16
 BLOCK = 64
 #: Votes weigh cosine to this power; the prior weighs as one example at cosine 1.
@@ -40,15 +44,17 @@ _word = re.compile(r"[^\W\d_]+")
 
 
 def features(text: str | None) -> dict[str, int]:
-    """How often a text has each lower-cased word, and each beginning of longer words, marked with ``*``."""
+    """How often a text has each lower-cased word, each beginning of longer words, marked with ``*``, and beginnings that
+    come so often, marked with ``*`` and the number."""
     found = Counter(_word.findall((text or "").lower()))
-    out = dict(found)
+    starts: dict[str, int] = {}
     for w, n in found.items():
         for size in BEGINNINGS:
             if len(w) > size:
                 start = w[:size] + "*"
-                out[start] = out.get(start, 0) + n
-    return out
+                starts[start] = starts.get(start, 0) + n
+    repeated = {f"{start}{k}": n for start, n in starts.items() if n >= REPEATS[0] for k in REPEATS if n >= k}
+    return {**found, **starts, **repeated}
 
 
 @dataclass
@@ -130,12 +136,17 @@ def held_out(doc_id) -> F.Column:
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """(doc_id, text, toxic) of ``sample`` training rows at most; a doc_id with several labels counts as toxic if one says so."""
+    """(doc_id, text, toxic) of ``sample`` training documents at most.
+
+    A doc_id with several labels counts as toxic if one says so; of a doc_id with several texts the least is read, so
+    that rows are bounded, not ids alone. Null labels and null ids are left out.
+    """
     train = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull())
     train = train.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     train = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     chosen = train.select(F.col("doc_id").alias("label_id"), "toxic")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     return materialise(rows.select("doc_id", "text", "toxic"), "toxic-sample")
 
 
@@ -175,22 +186,25 @@ def build(examples: list[tuple[int, tuple[tuple[int, int], ...], int]], terms: l
     index.block_max = np.zeros((len(terms), blocks))
     # in the order of (term, entry), postings of a term and block are a range
     where = term * (blocks + 1) + index.entry // BLOCK
-    index.block_start = np.searchsorted(where, np.arange(len(terms) * (blocks + 1))).reshape(len(terms), blocks + 1)
+    index.block_start = np.searchsorted(where, np.arange(len(terms) * (blocks + 1))).astype(np.int32).reshape(len(terms), blocks + 1)
     np.maximum.at(index.block_max, (term, index.entry // BLOCK), index.weight)
     return index
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_terms: int = MAX_TERMS) -> Index:
-    """Everything that reaches the driver is bounded by ``sample`` and ``max_terms``."""
+    """The index. What reaches the driver are ``sample`` vectors of ``max_terms`` terms at most, and sums."""
     rows = sample_of(docs, labels, sample)
     total = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     n, bad = int(total[0]), int(total[1])
     counts = rows.mapInArrow(_term_counts, "term string, n long, bad long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    counts = materialise(counts, "toxic-terms")
     a, b = F.col("bad").cast("double"), (F.col("n") - F.col("bad")).cast("double")
     c, d = bad - a, (n - bad) - b
     chi2 = n * (a * d - b * c) * (a * d - b * c) / ((a + b) * (c + d) * (a + c) * (b + d))
     chosen = counts.where(F.col("n").between(MIN_EXAMPLES, n - 1) if 0 < bad < n else F.lit(False)).withColumn("chi2", chi2)
-    chosen = chosen.where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "term").limit(max_terms).collect()
+    # the largest of so many chi-squares stays below this where words and labels have nothing to do with each other
+    least = 2 * math.log(max(2, counts.count()))
+    chosen = chosen.where(F.col("chi2") >= least).orderBy(F.desc("chi2"), "term").limit(max_terms).collect()
     chosen = sorted((r["term"], r["n"]) for r in chosen)
     terms = [t for t, _ in chosen]
     idf = np.array([math.log((1 + n) / (1 + df)) + 1 for _, df in chosen])
@@ -230,7 +244,11 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """Rows of ``docs`` whose text is not predicted toxic, all columns kept."""
+    """Rows of ``docs`` whose text is not predicted toxic, all columns kept, whatever their names.
+
+    Null and empty texts are judged like texts without any term; repeated rows stay or go together. Without usable
+    labels every row stays. An empty table gives an empty table.
+    """
     index = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample))
     place = docs.columns.index("text")
 
