@@ -13,7 +13,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomwork.operators.durable import materialise, scratch  # noqa: F401  the operators take them from here
+from loomwork.operators.durable import arrow_store, delete, drop, materialise, scratch  # noqa: F401  the operators take them from here
 
 #: A word in every contract: a run of characters that are neither space nor \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -27,6 +27,14 @@ def give_back() -> None:
         trim(0)
 
 
+def reserved(df: DataFrame, *names: str) -> None:
+    """Refuses a table with columns that begin with ``__lw_``, the operators' own, or have one of the names, or repeat."""
+    lower = [c.lower() for c in df.columns]
+    bad = sorted({c for c in lower if c.startswith("__lw_") or c in names or lower.count(c) > 1})
+    if bad:
+        raise ValueError(f"columns that the operators use themselves or that are ambiguous: {', '.join(bad)}")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -139,31 +147,42 @@ def _edge_batch(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
+#: Rows of small tables that a task gets, about: a table of few rows is not spread over as many files as tasks.
+SMALL_ROWS = 250_000
+
+
+def compact(df: DataFrame, rows: int) -> DataFrame:
+    """The same rows in as many partitions as ``rows``, a bound of their number, need."""
+    return df.coalesce(max(1, -(-rows // SMALL_ROWS)))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(id, root) for every vertex of ``edges`` (u long, v long): root is the smallest vertex reachable.
 
     Alternating large-star and small-star steps; each vertex ends up linked to its root only. Minima are aggregated
     before the shuffle, and every step's edges are written to the shared folder, so that the joins read plain
-    exchanges (whose hot keys Spark splits) and a lost executor costs one step at most.
+    exchanges (whose hot keys Spark splits) and a lost executor costs one step at most. What a step has read is deleted
+    when the next one is written.
     """
     edges = edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v")
     edges = materialise(edges.mapInArrow(thin_edges, "u long, v long"), "edges")
-    seen = None
+    seen, n = None, edges.count()
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-        low = materialise(low, "large-min")
-        large = both.where("v > u").join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialise(large.distinct(), "large-star")  # now v < u in every edge
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
+        least = materialise(compact(least, 2 * n), "large-min")
+        large = both.where("v > u").join(least, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = materialise(compact(large.distinct(), 2 * n), "large-star")  # now v < u in every edge
         low = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k")
-        low = materialise(low, "small-min")
+        low = materialise(compact(low, 2 * n), "small-min")
         small = large.join(low, F.col("u") == F.col("k")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.where("u <> v").union(low.select(F.col("k").alias("u"), F.col("m").alias("v")))
-        edges = materialise(small.distinct(), "small-star")
+        before, edges = edges, materialise(compact(small.distinct(), 4 * n), "small-star")
+        drop(before, least, large, low)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == seen:
             break
-        seen = now
+        seen, n = now, now[0]
     ids = edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
     return ids.union(edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
 

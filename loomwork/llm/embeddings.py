@@ -21,12 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import Forest, connected_components, materialise, partitions, scratch
+from loomwork.llm.common import Forest, arrow_store, connected_components, materialise, partitions, scratch
 
 THRESHOLD = 0.9
 #: Vectors in a tile, at most.
@@ -103,7 +102,7 @@ def _tiles(folder: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
-        store, root = pa.fs.FileSystem.from_uri(folder)
+        store, root = arrow_store(folder)
         store.create_dir(root, recursive=True)
         name = f"{part:06d}-{uuid.uuid4().hex}.arrow"
         heads: list[tuple] = []
@@ -147,7 +146,7 @@ def _tiles(folder: str):
 
 
 def _load(file: str, row: int, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    store, path = pa.fs.FileSystem.from_uri(file)
+    store, path = arrow_store(file)
     with store.open_input_file(path) as source, pa.ipc.open_file(source) as reader:
         batch = reader.get_batch(row)
     x, ids, counts = (batch.column(i)[0].as_buffer() for i in range(3))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import Forest, _edge_batch, connected_components, materialise
+from loomwork.llm.common import Forest, _edge_batch, connected_components, drop, materialise, reserved
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -180,7 +180,9 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def simhash_components(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp long, component_id) for every row of ``docs`` (doc_id, text; other columns are not read).
+    """(doc_id, fp long, component_id, group) for every row of ``docs`` (doc_id, text; other columns are not read).
+
+    ``group`` tells components apart: rows that share a doc_id may lie in several.
 
     Null and empty texts, and texts of spaces only, have fingerprint 0 and are linked like any other. Texts shorter
     than a shingle are one shingle. Repeated rows give repeated rows. A null doc_id is never a component's id unless
@@ -189,15 +191,16 @@ def simhash_components(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame
     prints = docs.select("doc_id", "text").mapInArrow(_fingerprints(words), "doc_id long, fp long")
     prints = materialise(prints, "simhash")
     first = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    roots = connected_components(links(first.select("fp")))
+    roots = materialise(connected_components(links(first.select("fp"))), "simhash-links")
     rooted = first.join(roots, first["fp"] == roots["id"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     rooted = materialise(rooted, "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id")).withColumnRenamed("root", "r")
     classes = rooted.join(materialise(least, "simhash-least"), F.col("root") == F.col("r"))
-    classes = materialise(classes.select(F.col("fp").alias("class_fp"), "component_id"), "simhash-classes")
-    return prints.join(classes, prints["fp"] == classes["class_fp"]).select("doc_id", "fp", "component_id")
+    classes = materialise(classes.select(F.col("fp").alias("class_fp"), "component_id", F.col("root").alias("group")), "simhash-classes")
+    drop(first, roots, rooted)
+    return prints.join(classes, prints["fp"] == classes["class_fp"]).select("doc_id", "fp", "component_id", "group")
 
 
 def hex_fingerprint(fp) -> F.Column:
@@ -205,15 +208,30 @@ def hex_fingerprint(fp) -> F.Column:
 
 
 def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """One document of each near-duplicate group, that with the smallest doc_id; all columns are kept.
+    """One row of each near-duplicate group, that with the smallest doc_id; all columns are kept, whatever their names.
 
-    Rows that repeat a doc_id count as one document, of which one row stays. Rows without a doc_id stay.
+    Rows that repeat a doc_id are documents of their own, told apart by their fingerprints: one that is in another group
+    than its namesakes stays. Of a group whose smallest doc_id is repeated, one of its rows stays. Rows without a doc_id
+    stay. Null and empty texts are a group. Names that begin with ``__lw_`` are refused. An empty table gives an empty table.
     """
     from pyspark.sql import Window
+    from pyspark.sql import types as T
+
+    reserved(docs)
+    at = docs.columns.index("text")
+    prints = _fingerprints(words)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = pa.RecordBatch.from_arrays([pa.nulls(batch.num_rows, pa.int64()), batch.column(at)], names=["doc_id", "text"])
+            fps = pa.concat_arrays([b.column(1) for b in prints(iter([own]))]) if batch.num_rows else pa.array([], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, fps], names=[*batch.schema.names, "__lw_fp"])
 
     classes = simhash_components(docs, words)
-    chosen = classes.where("doc_id = component_id").select(F.col("doc_id").alias("__lw_chosen")).distinct()
-    kept = docs.join(chosen, docs["doc_id"] == chosen["__lw_chosen"]).drop("__lw_chosen")
-    w = Window.partitionBy("doc_id").orderBy("text")
-    kept = kept.withColumn("__lw_nth", F.row_number().over(w)).where("__lw_nth = 1").drop("__lw_nth")
+    # one fingerprint for each group and its least doc_id: the least that a row of this id has
+    chosen = classes.where("doc_id = component_id").groupBy("group").agg(F.min("doc_id").alias("__lw_chosen"), F.min("fp").alias("__lw_least")).drop("group")
+    rows = docs.mapInArrow(marked, T.StructType([*docs.schema.fields, T.StructField("__lw_fp", T.LongType())]))
+    kept = rows.join(chosen, (rows["doc_id"] == chosen["__lw_chosen"]) & (rows["__lw_fp"] == chosen["__lw_least"])).drop("__lw_chosen", "__lw_least")
+    w = Window.partitionBy("doc_id", "__lw_fp").orderBy("text")
+    kept = kept.withColumn("__lw_nth", F.row_number().over(w)).where("__lw_nth = 1").drop("__lw_nth", "__lw_fp")
     return kept.union(docs.where("doc_id is null"))

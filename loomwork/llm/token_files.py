@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import materialise, partitions, scratch
+from loomwork.llm.common import arrow_store, materialise, partitions, scratch
 from loomwork.llm.tokens import default_vocabulary, encoder
 
 LENGTH = 2048
@@ -114,7 +114,7 @@ def write(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH,
         code = encoder(vocabulary)
         kind = pa.uint16() if max(code.size, end_id + 1) <= 1 << 16 else pa.uint32()
         dtype = kind.to_pandas_dtype()
-        store, root = pa.fs.FileSystem.from_uri(folder)
+        store, root = arrow_store(folder)
         store.create_dir(root, recursive=True)
         tag = f"{part:06d}-{uuid.uuid4().hex}.arrow"
         n_docs = 0
@@ -152,7 +152,7 @@ def write(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH,
 
 
 def _open(uri: str):
-    store, path = pa.fs.FileSystem.from_uri(uri)
+    store, path = arrow_store(uri)
     if isinstance(store, pa.fs.LocalFileSystem):
         return pa.memory_map(path)
     return store.open_input_file(path)
