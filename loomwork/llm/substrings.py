@@ -1,7 +1,8 @@
 """Substring dedup with a log-structured index of window fingerprints.
 
 A window is WINDOW consecutive words. Batches of documents come one after another; a window of a batch is a copy if an
-earlier batch holds its words, or a document of the same batch with a smaller doc_id.
+earlier batch holds its words, or a document of the same batch with a smaller doc_id. ``Index.add`` takes the next batch,
+``Index.save`` and ``Index.open`` keep an index between runs; ``dedup`` sends one table through an index in batches.
 
 1. Texts are cut into words once and kept in chunks (``Store``): Arrow files in the shared folder, which later passes
    read in place, so no text is ever shuffled.
@@ -12,13 +13,14 @@ earlier batch holds its words, or a document of the same batch with a smaller do
    first hashes become a new run; when FANOUT runs of a level exist, they are merged into one of the next level.
 4. Each chunk joins its copies to spans that have one source document, removes the words they cover, and asks the
    source's chunk to compare: a digest of the span's words against one of the source's words. Equal requests are asked
-   once. A span that differs is asked window by window; a window that differs (a hash collision) is resolved exactly by
-   its words.
+   once, and a chunk that is asked much is asked by several tasks, each with a share of the requests. A span that
+   differs is asked window by window; a window that differs (a hash collision) is resolved exactly by its words.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import uuid
 from collections.abc import Iterator
@@ -26,14 +28,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import materialise, partitions, scratch
+from loomwork.llm.common import arrow_store, delete, drop, materialise, partitions, scratch
 
 WINDOW = 13
 #: Words in a chunk, about; a longer document is a chunk of its own.
@@ -42,13 +43,25 @@ CHUNK_WORDS = 1 << 20
 SPARE_BITS = 28
 #: Runs of a level that are merged into one of the next.
 FANOUT = 4
-#: Stands for a null doc_id: after all others.
+#: Batches of a whole table: enough for runs to be merged once before the last batch comes.
+BATCHES = FANOUT + 2
+#: Windows of a bucket, about, over the whole index.
+BUCKET_WINDOWS = 1 << 21
+#: Requests that a task answers from one chunk, about.
+REQUESTS = 512
+#: Stands for a null doc_id in comparisons: after all others, like the largest one. Chunks know which ids are null.
 NO_ID = (1 << 63) - 1
 #: Bits of the filter that limits the exact pass to the hashes in question.
 FILTER_BITS = 1 << 20
 
 _CHUNK_SCHEMA = pa.schema(
-    [("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("ids", pa.list_(pa.int32())), ("words", pa.large_list(pa.large_binary()))]
+    [
+        ("doc_ids", pa.list_(pa.int64())),
+        ("ends", pa.list_(pa.int64())),
+        ("ids", pa.list_(pa.int32())),
+        ("words", pa.large_list(pa.large_binary())),
+        ("known", pa.int64()),
+    ]
 )
 
 
@@ -96,10 +109,11 @@ def unsqueeze_ids(data: bytes, n: int) -> np.ndarray:
 
 
 class Chunk:
-    """Documents as numbers of distinct words: doc_ids ascending, where each ends, word numbers, the words."""
+    """Documents as numbers of distinct words: doc_ids ascending, where each ends, word numbers, the words, and how many
+    documents, the first ones, have an id."""
 
-    def __init__(self, doc_ids: np.ndarray, ends: np.ndarray, ids: np.ndarray, words: list[bytes]) -> None:
-        self.doc_ids, self.ends, self.ids, self.words = doc_ids, ends, ids, words
+    def __init__(self, doc_ids: np.ndarray, ends: np.ndarray, ids: np.ndarray, words: list[bytes], known: int) -> None:
+        self.doc_ids, self.ends, self.ids, self.words, self.known = doc_ids, ends, ids, words, known
         self.starts = np.r_[0, ends[:-1]].astype(np.int64)
 
     def hashes(self, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,9 +153,9 @@ class Chunk:
         return b" ".join([words[i] for i in self.ids[a:b].tolist()])
 
 
-def _make_chunk(doc_ids: list[np.ndarray], texts: list[pa.Array]) -> Chunk:
-    ids = np.concatenate(doc_ids)
-    order = np.argsort(ids, kind="stable")
+def _make_chunk(doc_ids: list[np.ndarray], null: list[np.ndarray], texts: list[pa.Array]) -> Chunk:
+    ids, missing = np.concatenate(doc_ids), np.concatenate(null)
+    order = np.lexsort((missing, ids))
     words = pc.ascii_split_whitespace(pa.concat_arrays(texts).cast(pa.large_binary()).cast(pa.large_string()).take(pa.array(order)))
     # a text of spaces at its ends has empty words there
     flat, offsets = words.flatten(), words.offsets.to_numpy()
@@ -152,35 +166,27 @@ def _make_chunk(doc_ids: list[np.ndarray], texts: list[pa.Array]) -> Chunk:
         flat, offsets = flat.filter(full), kept[offsets]
     coded = flat.dictionary_encode()
     distinct = [w.encode() for w in coded.dictionary.to_pylist()]
-    return Chunk(ids[order], offsets[1:].astype(np.int64), coded.indices.to_numpy().astype(np.int32), distinct)
-
-
-class Store:
-    """Chunks of all batches. ``manifest``: (chunk, batch, file, row, n_docs, n_windows), one row per chunk."""
-
-    def __init__(self, manifest: DataFrame) -> None:
-        self.manifest = manifest
+    return Chunk(ids[order], offsets[1:].astype(np.int64), coded.indices.to_numpy().astype(np.int32), distinct, int(len(ids) - missing.sum()))
 
 
 def load(file: str, row: int) -> Chunk:
-    store, path = pa.fs.FileSystem.from_uri(file)
+    store, path = arrow_store(file)
     with store.open_input_file(path) as source, pa.ipc.open_file(source) as reader:
         batch = reader.get_batch(row)
     doc_ids, ends, ids = (batch.column(i)[0].values.to_numpy() for i in range(3))
-    return Chunk(doc_ids, ends, ids, batch.column(3)[0].values.to_pylist())
+    return Chunk(doc_ids, ends, ids, batch.column(3)[0].values.to_pylist(), batch.column(4)[0].as_py())
 
 
-def store_chunks(docs: DataFrame, bounds: list[int]) -> Store:
-    """Cuts the texts of ``docs`` into words; a document's batch is the number of bounds below its doc_id."""
-    spark = docs.sparkSession
-    folder = scratch(spark, "chunks")
+def store_chunks(docs: DataFrame, bounds: list[int], folder: str, first: int = 0) -> DataFrame:
+    """Cuts the texts of ``docs`` into words, kept in files under ``folder``: (chunk, batch, file, row, n_docs, n_windows),
+    one row per chunk. A document's batch is ``first`` and the number of bounds below its doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = pa.fs.FileSystem.from_uri(folder)
+        store, root = arrow_store(folder)
         store.create_dir(root, recursive=True)
         part, made = TaskContext.get().partitionId(), 0
         name = f"{part:06d}-{uuid.uuid4().hex}.arrow"
-        waiting: dict[int, tuple[list, list, list]] = {}
+        waiting: dict[int, tuple[list, list, list, list]] = {}
         rows: list[tuple] = []
         with (
             store.open_output_stream(f"{root}/{name}") as sink,
@@ -189,15 +195,16 @@ def store_chunks(docs: DataFrame, bounds: list[int]) -> Store:
 
             def flush(batch_no: int) -> None:
                 nonlocal made
-                own_ids, own_texts, _ = waiting.pop(batch_no)
-                c = _make_chunk(own_ids, own_texts)
-                values = [pa.array([c.doc_ids]), pa.array([c.ends]), pa.array([c.ids]), pa.array([c.words], _CHUNK_SCHEMA.field(3).type)]
+                own_ids, own_null, own_texts, _ = waiting.pop(batch_no)
+                c = _make_chunk(own_ids, own_null, own_texts)
+                values = [pa.array([c.doc_ids]), pa.array([c.ends]), pa.array([c.ids]), pa.array([c.words], _CHUNK_SCHEMA.field(3).type), pa.array([c.known])]
                 writer.write_batch(pa.RecordBatch.from_arrays(values, schema=_CHUNK_SCHEMA))
                 windows = int(np.maximum(c.ends - c.starts - WINDOW + 1, 0).sum())
-                rows.append(((part << 32) | made, batch_no, f"{folder}/{name}", made, len(c.doc_ids), windows))
+                rows.append(((first << 46) | (part << 23) | made, first + batch_no, f"{folder}/{name}", made, len(c.doc_ids), windows))
                 made += 1
 
             for batch in batches:
+                null = batch.column(0).is_null().to_numpy(zero_copy_only=False)
                 ids = batch.column(0).fill_null(NO_ID).to_numpy()
                 texts = pc.fill_null(batch.column(1), "").cast(pa.large_string())
                 size = pc.binary_length(texts).to_numpy().astype(np.int64)
@@ -207,11 +214,12 @@ def store_chunks(docs: DataFrame, bounds: list[int]) -> Store:
                 for a, b in zip(np.r_[0, cut].tolist(), np.r_[cut, len(ids)].tolist()):
                     for batch_no in np.unique(number[a:b]).tolist():
                         at = a + np.flatnonzero(number[a:b] == batch_no)
-                        own = waiting.setdefault(batch_no, ([], [], [0]))
+                        own = waiting.setdefault(batch_no, ([], [], [], [0]))
                         own[0].append(ids[at])
-                        own[1].append(texts.take(pa.array(at)))
-                        own[2][0] += int(size[at].sum())
-                        if own[2][0] >= CHUNK_WORDS * 6:
+                        own[1].append(null[at])
+                        own[2].append(texts.take(pa.array(at)))
+                        own[3][0] += int(size[at].sum())
+                        if own[3][0] >= CHUNK_WORDS * 6:
                             flush(batch_no)
             for batch_no in sorted(waiting):
                 flush(batch_no)
@@ -219,8 +227,7 @@ def store_chunks(docs: DataFrame, bounds: list[int]) -> Store:
         columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
         yield pa.RecordBatch.from_arrays(columns, names=["chunk", "batch", "file", "row", "n_docs", "n_windows"])
 
-    rows = docs.select("doc_id", "text").mapInArrow(run, "chunk long, batch int, file string, row int, n_docs long, n_windows long")
-    return Store(materialise(rows, "chunk-manifest"))
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "chunk long, batch int, file string, row int, n_docs long, n_windows long")
 
 
 # --- the index
@@ -260,7 +267,7 @@ def _send(bits: int, bucket_bits: int):
 
 def _segment(row: dict) -> dict:
     """A run's row with its segment, which lies in a file at the place that ``chunk`` tells."""
-    store, path = pa.fs.FileSystem.from_uri(row["file"])
+    store, path = arrow_store(row["file"])
     with store.open_input_file(path) as source, pa.ipc.open_file(source) as reader:
         batch = reader.get_batch(row["chunk"])
     return row | {name: batch.column(name)[0].as_py() for name in _SEGMENT.names}
@@ -278,7 +285,7 @@ def _merge(folder: str | None, answer: bool):
         docs = np.concatenate([unsqueeze_ids(r["docs"], r["n"]) for r in parts])
         chunks = np.concatenate([unsqueeze_ids(r["chunks"], r["n"]) if r["kind"] == 0 else np.full(r["n"], r["chunk"]) for r in parts])
         recent = np.repeat([0] * len(old) + [1] * len(new), [r["n"] for r in parts])
-        order = np.argsort(h)
+        order = np.argsort(h, kind="stable")  # every part is a sorted run: equal to merging them
         sorted_h = h[order]
         new_hash = np.r_[True, sorted_h[1:] != sorted_h[:-1]]
         # among equal hashes, what is in the index comes before the batch, then by doc_id
@@ -319,7 +326,7 @@ def _merge(folder: str | None, answer: bool):
             for rows in groups():
                 yield _rows(merged(rows)[0], _RUN_NAMES, _RUN_KINDS)
             return
-        store, root = pa.fs.FileSystem.from_uri(folder)
+        store, root = arrow_store(folder)
         store.create_dir(root, recursive=True)
         name, made = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.arrow", 0
         with store.open_output_stream(f"{root}/{name}") as sink, pa.ipc.new_file(sink, _SEGMENT) as writer:
@@ -336,45 +343,89 @@ def _merge(folder: str | None, answer: bool):
 
 
 class Index:
-    """Runs of earlier batches' window hashes, by level: immutable files of segments, one per bucket, sorted by hash.
+    """Window hashes of earlier batches in runs by level: immutable files of segments, one per bucket, sorted by hash; and
+    the chunks of these batches. All of it lies under ``folder``.
 
     Only rows that tell where segments lie are shuffled; whoever merges a bucket reads its segments in place.
     """
 
-    def __init__(self, spark: SparkSession, bits: int) -> None:
-        self.spark, self.bits = spark, bits
-        self.bucket_bits = min(bits - 1, max(4, math.ceil(math.log2(4 * partitions(spark)))))
-        self.levels: list[list[DataFrame]] = []
+    def __init__(self, spark: SparkSession, folder: str, bits: int, bucket_bits: int, batches: int = 0, levels: list[list[str]] | None = None, chunks: list[str] | None = None) -> None:
+        self.spark, self.folder, self.bits, self.bucket_bits = spark, folder, bits, bucket_bits
+        self.batches, self.levels, self.chunks = batches, levels or [], chunks or []
+
+    @classmethod
+    def create(cls, spark: SparkSession, windows: int | None = None, folder: str | None = None, bits: int | None = None) -> Index:
+        """An empty index for about so many windows in all; more of them make buckets and spans that are asked anew more,
+        never another result. ``folder`` must be shared, and must outlive the application if the index is to."""
+        if bits is None:
+            bits = 64 if windows is None else min(64, SPARE_BITS + max(1, int(windows).bit_length()))
+        buckets = max(16, 4 * partitions(spark), (windows or 0) // BUCKET_WINDOWS)
+        return cls(spark, folder or scratch(spark, "substring-index"), bits, min(bits - 1, math.ceil(math.log2(buckets))))
+
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> Index:
+        """The index as it was saved last."""
+        last = spark.read.parquet(f"{folder}/states").orderBy(F.desc("batches")).first()
+        state = json.loads(last["state"])
+        return cls(spark, folder, state["bits"], state["bucket_bits"], last["batches"], state["levels"], state["chunks"])
+
+    def save(self) -> None:
+        state = json.dumps({"bits": self.bits, "bucket_bits": self.bucket_bits, "levels": self.levels, "chunks": self.chunks})
+        rows = self.spark.createDataFrame([(self.batches, state)], "batches int, state string")
+        rows.coalesce(1).write.mode("append").parquet(f"{self.folder}/states")
+
+    def _write(self, rows: DataFrame, name: str) -> str:
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+        return path
+
+    def _read(self, paths: list[str], schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def places(self) -> DataFrame:
+        """Where the chunks of all batches are."""
+        return self._read(self.chunks, _PLACES)
+
+    def cut(self, docs: DataFrame, bounds: list[int]) -> DataFrame:
+        """Texts as chunks of the next batches, which are numbered by how many bounds are below a doc_id."""
+        rows = store_chunks(docs, bounds, f"{self.folder}/chunks-{uuid.uuid4().hex}", self.batches)
+        self.chunks.append(self._write(rows, "places"))
+        return self._read(self.chunks[-1:], _PLACES)
+
+    def meet(self, chunks: DataFrame, keep: bool = True) -> DataFrame:
+        """Answers for the chunks of the next batch (kind 2 rows); with ``keep`` the batch joins the index."""
+        n = max(1, min(partitions(self.spark) * 4, chunks.count()))
+        rows = chunks.repartition(n, "chunk").mapInArrow(_send(self.bits, self.bucket_bits), _HASHES)
+        runs = [path for level in self.levels for path in level]
+        if runs:
+            rows = rows.union(self._read(runs, _HASHES).where("kind = 0"))
+        folder = f"{self.folder}/segments-{uuid.uuid4().hex}" if keep else None
+        path = self._write(self._by_bucket(rows).mapInArrow(_merge(folder, True), _HASHES), "run")
+        if keep:
+            self._append(path, 0)
+        self.batches += 1
+        return self._read([path], _HASHES).where("kind = 2")
 
-    def runs(self) -> list[DataFrame]:
-        return [r for level in self.levels for r in level]
+    def add(self, docs: DataFrame, text: bool = False) -> DataFrame:
+        """The next batch: (doc_id, n_words, n_removed, kept_sha256) of its documents, which join the index."""
+        own = self.cut(docs, [])
+        return _removed(self, own, self.meet(own), text)
 
     def _by_bucket(self, rows: DataFrame) -> DataFrame:
         return rows.repartition(partitions(self.spark), "bucket").sortWithinPartitions("bucket", "kind")
 
-    def add(self, chunks: DataFrame, keep: bool = True) -> DataFrame:
-        """Answers for a batch's chunks (kind 2 rows); with ``keep`` the batch joins the index."""
-        n = max(1, min(partitions(self.spark) * 4, chunks.count()))
-        rows = chunks.repartition(n, "chunk").mapInArrow(_send(self.bits, self.bucket_bits), _HASHES)
-        for r in self.runs():
-            rows = rows.union(r)
-        folder = scratch(self.spark, "run") if keep else None
-        rows = materialise(self._by_bucket(rows).mapInArrow(_merge(folder, True), _HASHES), "substring-merge")
-        if keep:
-            self._append(rows.where("kind = 0"), 0)
-        return rows.where("kind = 2")
-
-    def _append(self, run: DataFrame, level: int) -> None:
+    def _append(self, run: str, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) >= FANOUT:
-            rows = self.levels[level][0]
-            for r in self.levels[level][1:]:
-                rows = rows.union(r)
+            rows = self._read(self.levels[level], _HASHES).where("kind = 0")
             self.levels[level] = []
-            merged = self._by_bucket(rows).mapInArrow(_merge(scratch(self.spark, "run"), False), _HASHES)
-            self._append(materialise(merged, f"substring-run-{level + 1}"), level + 1)
+            merged = self._by_bucket(rows).mapInArrow(_merge(f"{self.folder}/segments-{uuid.uuid4().hex}", False), _HASHES)
+            self._append(self._write(merged, f"run-{level + 1}"), level + 1)
+
+
+_PLACES = "chunk long, batch int, file string, row int, n_docs long, n_windows long"
 
 
 # --- removal and verification
@@ -405,7 +456,7 @@ def _document(chunk: Chunk, number: int, d: int, gone: np.ndarray, text: bool) -
     data = b" ".join([chunk.words[i] for i in kept])
     doc_id = int(chunk.doc_ids[d])
     said = data.decode() if text else hashlib.sha256(data).hexdigest()
-    return (0, number, d, None if doc_id == NO_ID else doc_id, b - a, b - a - len(kept), said, *[None] * 6)
+    return (0, number, d, doc_id if d < chunk.known else None, b - a, b - a - len(kept), said, *[None] * 6)
 
 
 def _remove(bits: int, bucket_bits: int, text: bool):
@@ -583,14 +634,12 @@ def _redo(text: bool):
     return run
 
 
-def _exactly(store: Store, bits: int, spans: DataFrame, bad: DataFrame, text: bool, n: int) -> DataFrame:
+def _exactly(places: DataFrame, bits: int, spans: DataFrame, bad: DataFrame, text: bool, n: int) -> DataFrame:
     """The documents with spans that differ from their source, anew: what was verified, and the rest by its words."""
-    spark = spans.sparkSession
     key = ["source_chunk", "source_doc", "first_hash", "n", "digest"]
     marked = spans.join(bad.withColumn("differs", F.lit(True)), key, "left")
     marked = materialise(marked, "substring-marked")
     docs = materialise(marked.where("differs").select("chunk", "doc").distinct(), "substring-redo")
-    places = store.manifest.select("chunk", "batch", "file", "row")
     asked = marked.where("differs").select("chunk", "start", "n").join(places, "chunk")
     asked = asked.repartition(n, "chunk").sortWithinPartitions("chunk").mapInArrow(_windows(bits, None, True), _WINDOW_ROWS)
     asked = materialise(asked, "substring-asked")
@@ -610,42 +659,30 @@ def _exactly(store: Store, bits: int, spans: DataFrame, bad: DataFrame, text: bo
 
 
 def _differing(places: DataFrame, spans: DataFrame, bits: int, n: int) -> DataFrame:
-    """What spans ask of their sources and the sources deny; equal requests are asked once."""
-    asked = spans.select("source_chunk", "source_doc", "first_hash", "n", "digest").distinct().withColumn("kind", F.lit(1))
-    bad = _by_chunk(places, asked, "source_chunk", n).mapInArrow(
-        _verify(bits), "source_chunk long, source_doc long, first_hash long, n long, digest binary"
-    )
-    return materialise(bad, "substring-differing")
-
+    """What spans ask of their sources and the sources deny; equal requests are asked once.
 
-def dedup(docs: DataFrame, batches: int = 2, bits: int | None = None, text: bool = False) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256) for every row of ``docs`` (doc_id, text).
-
-    The documents come in ``batches`` of ascending doc_id, so that a copy is what a smaller doc_id holds. With
-    ``text``, kept_sha256 holds the kept words themselves. Null and empty texts have no words. A null doc_id is after
-    all others. Rows that repeat a doc_id are not copies of each other. ``bits``: of the hashes; fewer mean more
-    collisions, never another result. An empty table gives an empty table.
+    A chunk that holds what very many chunks copy is read by one task for each REQUESTS of its requests.
     """
-    spark = docs.sparkSession
-    if batches > 1:
-        shares = [i / batches for i in range(1, batches)]
-        bounds = docs.agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] or []
-        bounds = sorted(set(bounds))
-    else:
-        bounds = []
-    store = store_chunks(docs, bounds)
-    chunks, windows = store.manifest.agg(F.count("*"), F.coalesce(F.sum("n_windows"), F.lit(0))).first()
-    if bits is None:
-        bits = min(64, SPARE_BITS + max(1, int(windows).bit_length()))
-    index = Index(spark, bits)
-    numbers = range(len(bounds) + 1)
-    answers = None
-    for number in numbers:
-        own = index.add(store.manifest.where(F.col("batch") == number), keep=number < numbers[-1])
-        answers = own if answers is None else answers.union(own)
-    n = max(1, min(partitions(spark) * 4, int(chunks)))
-    places = store.manifest.select("chunk", "batch", "file", "row")
-    rows = _by_chunk(places, answers, "chunk", n).mapInArrow(_remove(bits, index.bucket_bits, text), _OUT)
+    asked = materialise(spans.select("source_chunk", "source_doc", "first_hash", "n", "digest").distinct(), "substring-requests")
+    shares = asked.groupBy("source_chunk").agg(F.ceil(F.count("*") / REQUESTS).alias("shares"))
+    shares = materialise(shares, "substring-shares")
+    share = F.pmod(F.xxhash64("source_doc", "first_hash", "n", "digest"), F.col("shares")).alias("share")
+    rows = asked.join(shares, "source_chunk").select(*asked.columns, share, F.lit(1).alias("kind"))
+    there = places.join(shares, F.col("chunk") == F.col("source_chunk"))
+    there = there.select("source_chunk", "file", "row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"), F.lit(0).alias("kind"))
+    both = there.unionByName(rows, allowMissingColumns=True).repartition(n, "source_chunk", "share")
+    both = both.sortWithinPartitions("source_chunk", "share", "kind")
+    bad = materialise(both.mapInArrow(_verify(bits), "source_chunk long, source_doc long, first_hash long, n long, digest binary"), "substring-differing")
+    drop(asked, shares)
+    return bad
+
+
+def _removed(index: Index, own: DataFrame, answers: DataFrame, text: bool) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256) of the documents in the chunks ``own``."""
+    spark, bits = index.spark, index.bits
+    n = max(1, min(partitions(spark) * 4, own.count()))
+    places = index.places().select("chunk", "batch", "file", "row")
+    rows = _by_chunk(own, answers, "chunk", n).mapInArrow(_remove(bits, index.bucket_bits, text), _OUT)
     rows = materialise(rows, "substring-removed")
     spans = rows.where("kind = 1").select(*_SPAN_NAMES)
     done = rows.where("kind = 0")
@@ -654,15 +691,41 @@ def dedup(docs: DataFrame, batches: int = 2, bits: int | None = None, text: bool
         # a span may run on where its source does not: its windows are verified one by one
         key = bad.columns
         apart = spans.join(bad, key, "left_semi").withColumn("kind", F.lit(1))
-        apart = materialise(_by_chunk(places, apart, "chunk", n).mapInArrow(_singles(bits), _SPAN), "substring-singles")
+        apart = materialise(_by_chunk(own, apart, "chunk", n).mapInArrow(_singles(bits), _SPAN), "substring-singles")
         spans = spans.join(bad, key, "left_anti").unionByName(apart)
         bad = _differing(places, apart, bits, n)
     if not bad.isEmpty():
-        again = materialise(_exactly(store, bits, spans, bad, text, n), "substring-exact")
+        again = materialise(_exactly(places, bits, spans, bad, text, n), "substring-exact")
         done = done.join(again.select("chunk", "doc"), ["chunk", "doc"], "left_anti").unionByName(again)
     return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def dedup(docs: DataFrame, batches: int = BATCHES, bits: int | None = None, text: bool = False) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256) for every row of ``docs`` (doc_id, text).
+
+    The documents go through an index in ``batches`` of ascending doc_id, so that a copy is what a smaller doc_id holds.
+    With ``text``, kept_sha256 holds the kept words themselves. Null and empty texts have no words. A null doc_id counts
+    as the largest one. Rows that repeat a doc_id are not copies of each other. ``bits``: of the hashes; fewer mean more
+    collisions, never another result. An empty table gives an empty table.
+    """
+    spark = docs.sparkSession
+    shares = [i / batches for i in range(1, batches)]
+    bounds = sorted(set(docs.agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] or [])) if shares else []
+    folder = scratch(spark, "substring-index")
+    cut = Index(spark, folder, 64, 0)
+    chunks = cut.cut(docs, bounds)
+    windows = chunks.agg(F.coalesce(F.sum("n_windows"), F.lit(0))).first()[0]
+    index = Index.create(spark, int(windows), folder, bits)
+    index.chunks = cut.chunks
+    answers = None
+    for number in range(len(bounds) + 1):
+        own = index.meet(chunks.where(F.col("batch") == number), keep=number < len(bounds))
+        answers = own if answers is None else answers.union(own)
+    done = _removed(index, chunks, answers, text)
+    delete(spark, folder)
+    return done
+
+
 OP4_SQL = r"""
 WITH cut AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 windows AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS body FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM cut)),
