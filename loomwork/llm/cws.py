@@ -1,14 +1,20 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame functions alone.
 
 A text's terms are its words, weighted by how often they occur. For each term k of weight S and each of SAMPLES
-positions: r, c ~ Gamma(2, 1) and b ~ U(0, 1) come from hashes of k and the position; t = floor(ln S / r + b),
-ln y = r (t - b), ln a = ln c - ln y - r. The position's sample is the least ln a over the terms, which stands for the
-term and t it came from. Two texts agree in a position with a probability equal to their generalised Jaccard
-similarity, sum of min / sum of max of the weights; their likeness is the share of positions in which they agree.
-
-The query compares neighbours in the order of doc_id. Documents are dealt to ranges of doc_id whose bounds are
-approximate quantiles, each with the last document of the range before, and every later step (windows, words, weights,
-minima) works within a range: texts are shuffled once, and no range has to hold a hot key.
+positions, uniforms u1..u4 come from hashes of k and the position; r = -ln(u1 u2) and c = -ln(u3 u4) are Gamma(2, 1), and
+b = ln u1 / ln(u1 u2) is uniform and independent of r. t = floor(ln S / r + b), ln y = r (t - b), a = c / (y exp r). The
+position's sample is the least a over the terms, which stands for the term and the t it came from. Two texts agree in a
+position with a probability equal to their generalised Jaccard similarity, sum of min / sum of max of the weights;
+their likeness is the share of positions in which they agree.
+
+With this b, t is 0 exactly if S u2 < 1, and then a = c u2; otherwise a = c (u1 u2)**(t + 1) / u1. So a >= (1 - u3 u4) u2
+or, for a larger t, (1 - u3 u4) u1 u2 / S, which needs no logarithm. The least a of a text of n words is an exponential of
+rate n: beyond BOUND / n it lies with probability exp(-BOUND). Terms whose lower limit is beyond are not drawn further.
+
+The query compares a text with its edited text and with its neighbour in the order of doc_id. Documents are dealt to
+ranges of that order, each with the last document of the range before, and every later step (windows, words, weights,
+minima) works within a range: texts are shuffled once, and no range has to hold a hot key. The words that a text and
+its edited text share are cut and counted once, and a term that weighs the same in both is drawn once.
 """
 
 from __future__ import annotations
@@ -18,106 +24,106 @@ from pyspark.sql import functions as F
 
 from loomwork.llm.common import materialise, partitions
 
-SAMPLES = 32
+SAMPLES = 64
+#: exp(-40) is 4e-18: the chance that a position of a text comes out empty.
+BOUND = 40.0
 #: Least doc_id; what stands for null in the order.
 LEAST = -(1 << 63)
-#: Ranges: so many for each shuffle partition, so that their hashes fill partitions evenly, and at most.
-RANGES_EACH, MOST_RANGES = 8, 8192
+#: Ranges: so many for each shuffle partition, so that their hashes fill partitions evenly.
+RANGES_EACH = 8
+#: Characters of a text that, after the doc_id, tell ranges apart.
+TIE_CHARS = 32
+#: White space between words.
+SPACE = r"[\x20\x09-\x0D]"
 
 
-def _uniform(bits, width: int) -> F.Column:
-    """(0, 1) from an integer of ``width`` bits."""
-    return (bits.cast("double") + 0.5) / float(1 << width)
+def sample(position: int) -> F.Column:
+    """a of the term cws_term at a position; null where it is beyond cws_bound for certain.
+
+    As SQL text: a draw has some forty nodes, and each would be a call to the JVM.
+    """
+    h1, h2 = f"xxhash64(cws_term, {2 * position})", f"xxhash64(cws_term, {2 * position + 1})"
+    high, low = "((shiftrightunsigned({0}, 32) + 0.5D) * {1!r}D)", "((({0} & 4294967295L) + 0.5D) * {1!r}D)"
+    u1, u2, u3, u4 = (u.format(h, 2.0**-32) for u, h in ((high, h1), (low, h1), (high, h2), (low, h2)))
+    least, c = f"((1D - {u3} * {u4}) * {u2})", f"(-ln({u3} * {u4}))"
+    beyond = f"(pow({u1} * {u2}, cast(floor((ln({u1}) - cws_ln) / ln({u1} * {u2})) as double) + 1D) / {u1})"
+    at_once = f"case when {least} <= cws_bound then {c} * {u2} end"
+    return F.expr(f"case when cws_weight * {u2} < 1D then {at_once} when {least} * {u1} <= cws_bound * cws_weight then {c} * {beyond} end")
 
 
-def sample(term, ln_weight, position: int) -> F.Column:
-    """ln a of a term at a position, in steps of 2**-32, as a long."""
-    h1, h2 = F.xxhash64(term, F.lit(2 * position)), F.xxhash64(term, F.lit(2 * position + 1))
-    mask21, mask32 = (1 << 21) - 1, (1 << 32) - 1
-    u1 = _uniform(F.shiftrightunsigned(h1, 43), 21)
-    u2 = _uniform(F.shiftrightunsigned(h1, 22).bitwiseAND(F.lit(mask21)), 21)
-    b = _uniform(h1.bitwiseAND(F.lit((1 << 22) - 1)), 22)
-    r = -F.ln(u1 * u2)
-    u3 = _uniform(F.shiftrightunsigned(h2, 32), 32)
-    u4 = _uniform(h2.bitwiseAND(F.lit(mask32)), 32)
-    ln_c = F.ln(-F.ln(u3 * u4))
-    t = F.floor(ln_weight / r + b)
-    return ((ln_c - r * (t - b + 1)) * float(1 << 32)).cast("long")
+def signatures(terms: DataFrame, key: list[str], samples: int = SAMPLES, words=None) -> DataFrame:
+    """One row per key with m0, m1, ...: from rows (key..., term long, weight). A null term counts for nothing.
+
+    ``words``: how many words the row's text has; without it, no term is left out early.
+    """
+    bound = F.lit(BOUND) / words.cast("double") if words is not None else F.lit(float("inf"))
+    extra = {c: F.col(c) for c in terms.columns if c not in (*key, "term", "weight")}
+    w = F.col("weight").cast("double")
+    # a null weight leaves every branch of a draw untaken
+    rows = terms.select(*key, *extra.values(), F.coalesce("term", F.lit(0)).alias("cws_term"), F.when(F.col("term").isNotNull(), w).alias("cws_weight"), bound.alias("cws_bound"))
+    rows = rows.withColumn("cws_ln", F.ln("cws_weight"))
+    return rows.groupBy(*key).agg(*[F.min(sample(j)).alias(f"m{j}") for j in range(samples)], *[F.max(c).alias(c) for c in extra])
 
 
-def signatures(terms: DataFrame, key: list[str], samples: int = SAMPLES) -> DataFrame:
-    """One row per key with m0, m1, ...: from rows (key..., term long, weight). A null term counts for nothing."""
-    rows = terms.withColumn("ln_weight", F.ln(F.col("weight").cast("double")))
-    least = [F.min(F.when(F.col("term").isNotNull(), sample(F.col("term"), F.col("ln_weight"), j))).alias(f"m{j}") for j in range(samples)]
-    extra = [F.max(c).alias(c) for c in terms.columns if c not in (*key, "term", "weight")]
-    return rows.groupBy(*key).agg(*least, *extra)
+def _signature(samples: int) -> F.Column:
+    return F.array(*[F.col(f"m{j}") for j in range(samples)])
 
 
-def text_words(text) -> F.Column:
-    """Words of a text, with one null in addition."""
-    some = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    return F.concat(some, F.array(F.lit(None).cast("string")))
+def words(text) -> F.Column:
+    return F.filter(F.split(text, f"{SPACE}+"), lambda w: w != "")
 
 
-def fingerprint(samples: int = SAMPLES, prefix: str = "m") -> F.Column:
+def fingerprint(signature, samples: int = SAMPLES) -> F.Column:
     """32 bits of each position, in hex; all zeros for a text without words."""
-    parts = [F.lpad(F.hex(F.coalesce(F.xxhash64(f"{prefix}{j}").bitwiseAND(F.lit((1 << 32) - 1)), F.lit(0))), 8, "0") for j in range(samples)]
-    blank = F.col(f"{prefix}0").isNull()
-    return F.when(blank, F.lit("0" * 8 * samples)).otherwise(F.lower(F.concat(*parts)))
+    part = lambda m: F.lpad(F.lower(F.hex(F.xxhash64(m).bitwiseAND(F.lit((1 << 32) - 1)))), 8, "0")
+    return F.when(F.get(signature, F.lit(0)).isNull(), F.lit("0" * 8 * samples)).otherwise(F.array_join(F.transform(signature, part), ""))
 
 
-def likeness(left: list, right: list) -> F.Column:
+def likeness(left, right, samples: int = SAMPLES) -> F.Column:
     """Share of positions in which two signatures agree; two texts without words agree in all."""
-    same = [F.when(a.eqNullSafe(b), 1.0).otherwise(0.0) for a, b in zip(left, right)]
-    out = same[0]
-    for s in same[1:]:
-        out = out + s
-    return out / float(len(left))
+    return F.size(F.filter(F.zip_with(left, right, lambda a, b: a.eqNullSafe(b)), lambda same: same)) / F.lit(float(samples))
 
 
 def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """(doc_id, fingerprint) for every row of ``docs`` (doc_id, text); null and empty texts have all zeros."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row", F.monotonically_increasing_id())
-    rows = rows.select("row", "doc_id", F.explode(text_words(F.col("text"))).alias("word"))
-    terms = rows.groupBy("row", "doc_id", F.xxhash64("word").alias("h"), F.col("word").isNull().alias("none")).agg(F.count("*").alias("weight"))
-    terms = terms.select("row", "doc_id", F.when(~F.col("none"), F.col("h")).alias("term"), "weight")
-    return signatures(terms, ["row", "doc_id"], samples).select("doc_id", fingerprint(samples).alias("fingerprint"))
-
-
-def _ranges(docs: DataFrame) -> tuple[list[int], list[tuple[int, int]]]:
-    """Inner bounds of the ranges of doc_id, and for each range its largest doc_id and the next range with rows."""
-    spark = docs.sparkSession
-    n = min(RANGES_EACH * partitions(spark), MOST_RANGES)
-    ids = materialise(docs.select(F.coalesce("doc_id", F.lit(LEAST)).alias("k")), "cws-ids")
-    shares = [i / n for i in range(1, n)]
-    bounds = ids.where(F.col("k") > LEAST).agg(F.percentile_approx("k", shares, 100_000)).first()[0] or []
-    bounds = sorted(set(bounds))
-    last = ids.groupBy(_range_of(F.col("k"), bounds).alias("range")).agg(F.max("k").alias("k")).orderBy("range").collect()
-    after = [r["range"] for r in last[1:]] + [r["range"] for r in last[:1]]
-    table = [(LEAST, 0)] * (len(bounds) + 1)
-    for r, following in zip(last, after):
-        table[r["range"]] = r["k"], following
-    return bounds, table
-
-
-def _longs(values: list[int]) -> F.Column:
-    return F.array(*[F.lit(v).cast("long") for v in values])
-
-
-def _range_of(key, bounds: list[int]) -> F.Column:
-    """How many bounds are below the key, by binary search."""
-    if not bounds:
-        return F.lit(0).cast("int")
-    every = _longs(bounds)
-    steps = F.array(*[F.lit(1 << i) for i in range(len(bounds).bit_length() - 1, -1, -1)])
+    found = F.concat(words(F.col("text")), F.array(F.lit(None).cast("string")))
+    rows = rows.select("row", "doc_id", F.explode(found).alias("word"))
+    terms = rows.groupBy("row", "doc_id", F.when(F.col("word").isNotNull(), F.xxhash64("word")).alias("term")).agg(F.count("*").alias("weight"))
+    return signatures(terms, ["row", "doc_id"], samples).select("doc_id", fingerprint(_signature(samples), samples).alias("fingerprint"))
+
+
+def _order_key(docs: DataFrame) -> F.Column:
+    """Where a document comes in the order of doc_id and text: null ids first."""
+    return F.struct(F.coalesce("doc_id", F.lit(LEAST)).alias("k"), F.left(F.coalesce("text", F.lit("")), F.lit(TIE_CHARS)).alias("tie"))
+
+
+def _ranges(docs: DataFrame) -> tuple[DataFrame, int]:
+    """The last key of each range, ascending, as one row with an array; the number of ranges.
+
+    Equal keys are in one range, so a repeated doc_id spreads over ranges by the beginnings of its texts.
+    """
+    keys = materialise(docs.select(_order_key(docs).alias("key")).select("key.*"), "cws-keys")
+    dealt = keys.repartitionByRange(RANGES_EACH * partitions(docs.sparkSession), "k", "tie")
+    last = materialise(dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.max(F.struct("k", "tie")).alias("last")), "cws-ranges")
+    return last.agg(F.sort_array(F.collect_list("last")).alias("ends")), last.count()
+
+
+def _range_of(key, ends, n: int) -> F.Column:
+    """How many of ``n`` ascending ends are below the key, by binary search."""
+    steps = F.array(*[F.lit(1 << i) for i in range(n.bit_length() - 1, -1, -1)])
 
     def step(at, width):
         to = at + width
-        return F.when((to <= len(bounds)) & (F.get(every, to - 1) < key), to).otherwise(at)
+        return F.when((to <= n) & (F.get(ends, to - 1) < key), to).otherwise(at)
 
     return F.aggregate(steps, F.lit(0), step)
 
 
+#: What a document's facts travel as: terms of their own that count for nothing.
+_FACTS = ("n_chars", "s0", "s1", "s2", "s3", "id", "guest")
+
+
 def neighbours(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how like they are.
 
@@ -126,49 +132,70 @@ def neighbours(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     agree with each other. Null doc_ids come last, rows that repeat a doc_id follow each other by descending text; a
     single document is its own next one. An empty table gives an empty table.
     """
-    bounds, table = _ranges(docs)
-    k = F.coalesce("doc_id", F.lit(LEAST))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), k.alias("k"))
-    rows = rows.withColumn("own", _range_of(F.col("k"), bounds))
+    found, n = _ranges(docs)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _order_key(docs).alias("key"), found.scalar().alias("ends"))
+    rows = rows.withColumn("own", _range_of(F.col("key"), F.col("ends"), n))
     here = F.struct(F.col("own").alias("range"), F.lit(0).alias("guest"))
-    there = F.struct(F.get(_longs([t[1] for t in table]), F.col("own")).cast("int").alias("range"), F.lit(1).alias("guest"))
-    edge = F.col("k") == F.get(_longs([t[0] for t in table]), F.col("own"))
-    rows = rows.select("doc_id", "text", "k", F.inline(F.when(edge, F.array(here, there)).otherwise(F.array(here))))
+    there = F.struct(F.pmod(F.col("own") + 1, F.lit(max(1, n))).alias("range"), F.lit(1).alias("guest"))
+    edge = F.get("ends", "own") == F.col("key")
+    rows = rows.select("doc_id", "text", F.col("key.k").alias("k"), F.inline(F.when(edge, F.array(here, there)).otherwise(F.array(here))))
     w = Window.partitionBy("range").orderBy(F.desc("guest"), "k", "text")
     rows = rows.withColumns({"nth": F.row_number().over(w), "next_text": F.lag("text", 1, "").over(w)})
-    n = F.char_length("text")
-    edited = F.concat(F.expr("left(text, char_length(text) - char_length(text) div 2)"), F.expr("left(next_text, cast(char_length(text) div 2 as int))"))
-    rows = rows.select("range", "nth", "guest", "doc_id", "text", n.cast("long").alias("n_chars"), edited.alias("edited"))
-    sha = F.sha2(F.col("edited").cast("binary"), 256)
-    parts = [F.conv(F.substring(sha, 1 + 16 * i, 16), 16, -10).cast("long").alias(f"s{i}") for i in range(4)]
-    info = F.struct("n_chars", *parts)
-    both = F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("text").alias("t"), info.alias("info")),
-        F.struct(F.lit(1).alias("kind"), F.col("edited").alias("t"), F.lit(None).cast("struct<n_chars: long, s0: long, s1: long, s2: long, s3: long>").alias("info")),
+    n_chars = F.char_length("text")
+    rows = rows.select("range", "nth", "guest", "doc_id", "text", "next_text", n_chars.alias("n_chars"), (n_chars - F.expr("char_length(text) div 2").cast("int")).alias("head"))
+    rows = rows.withColumns({"kept": F.left("text", F.col("head")), "cut": F.expr("substring(text, head + 1)"), "put": F.expr("left(next_text, n_chars - head)")})
+    # both texts begin with the same words, up to the last white space before the cut
+    rows = rows.withColumn("shared", F.regexp_extract("kept", rf"(?s)\A.*{SPACE}", 0))
+    rows = rows.withColumn("rest", F.expr("substring(kept, char_length(shared) + 1)"))
+    guest = F.col("guest") == 1
+    rows = rows.withColumns({"w_both": F.when(guest, words(F.col("text"))).otherwise(words(F.col("shared"))), "w_own": words(F.concat("rest", "cut")), "w_edited": words(F.concat("rest", "put"))})
+    rows = rows.withColumns({"n_own": F.size("w_both") + F.when(guest, 0).otherwise(F.size("w_own")), "n_edited": F.size("w_both") + F.when(guest, 0).otherwise(F.size("w_edited"))})
+    sha = F.sha2(F.concat("kept", "put").cast("binary"), 256)
+    facts = [F.col("n_chars").cast("long"), *[F.conv(F.substring(sha, 1 + 16 * i, 16), 16, -10).cast("long") for i in range(4)], F.col("doc_id").cast("long"), F.col("guest").cast("long")]
+
+    def part(what, own, edited, found):
+        kinds = (("fact", "int"), ("own", "long"), ("edited", "long"), ("words", "array<string>"))
+        return F.struct(*[x.cast(kind).alias(name) for x, (name, kind) in zip((F.lit(what), own, edited, found), kinds)])
+
+    one, none, nothing = F.lit(1), F.lit(0), F.array(F.lit(None))
+    told = [part(i + 1, fact, none, nothing) for i, fact in enumerate(facts)]
+    # a guest's edited text is asked of the range it comes from
+    visitor = F.array(part(0, one, none, F.col("w_both")), part(-1, none, none, nothing), told[-1])
+    own = F.array(part(0, one, one, F.col("w_both")), part(0, one, none, F.col("w_own")), part(0, none, one, F.col("w_edited")), part(-1, none, none, nothing), *told)
+    doc = ["range", "nth", "n_own", "n_edited"]
+    rows = rows.select(*doc, F.inline(F.when(guest, visitor).otherwise(own))).select(*doc, "fact", "own", "edited", F.explode("words").alias("word"))
+    rows = rows.select(*doc, "fact", F.when(F.col("word").isNotNull(), F.xxhash64("word")).alias("term"), "own", "edited")
+    terms = rows.groupBy(*doc, "fact", "term").agg(F.sum("own").alias("own"), F.sum("edited").alias("edited"))
+
+    def counted(kind, weight):
+        return F.struct(F.lit(kind).alias("kind"), weight.cast("long").alias("weight"))
+
+    # kind 0: facts; terms of 1: the text, 2: the edited text, 3: both with one weight. Every document has rows of all four
+    each = (
+        F.when(F.col("fact") > 0, F.array(counted(0, F.col("own"))))
+        .when(F.col("fact") < 0, F.array(*[counted(i, none) for i in (1, 2, 3)]))
+        .when(F.col("own") == F.col("edited"), F.array(counted(3, F.col("own"))))
+        .when(F.col("edited") == 0, F.array(counted(1, F.col("own"))))
+        .when(F.col("own") == 0, F.array(counted(2, F.col("edited"))))
+        .otherwise(F.array(counted(1, F.col("own")), counted(2, F.col("edited"))))
+    )
+    n_words = F.when(F.col("kind") == 1, F.col("n_own")).when(F.col("kind") == 2, F.col("n_edited")).otherwise(F.least("n_own", "n_edited"))
+    terms = terms.select(*doc, "fact", "term", F.inline(each))
+    terms = terms.select("range", "nth", "kind", "term", "weight", F.greatest(n_words, F.lit(1)).alias("n_words"), *[F.when(F.col("fact") == i + 1, F.col("weight")).alias(c) for i, c in enumerate(_FACTS)])
+    signed = signatures(terms, ["range", "nth", "kind"], samples, F.col("n_words")).select("range", "nth", "kind", _signature(samples).alias("m"), *_FACTS)
+    # a document's rows follow each other by kind, and those of the next document come just before
+    one = Window.partitionBy("range").orderBy("nth", "kind")
+    signed = signed.withColumns({f"m{back}": F.lag("m", back).over(one) for back in (1, 2, 4, 6)} | {f"f_{c}": F.lag(c, 3).over(one) for c in _FACTS})
+    least = lambda a, b: F.zip_with(a, b, lambda x, y: F.least(x, y))
+    signed = signed.where("kind = 3 and f_guest = 0").select(
+        *[f"f_{c}" for c in _FACTS], least("m", "m2").alias("text"), least("m", "m1").alias("edited"), least("m4", "m6").alias("next")
     )
-    # the info travels on the row of the null word alone; sums over it are hash aggregates like all others
-    rows = rows.select("range", "nth", "guest", "doc_id", F.inline(both))
-    rows = rows.where("guest = 0 or kind = 0").select("range", "nth", "guest", "doc_id", "kind", "info", F.explode(text_words(F.col("t"))).alias("word"))
-    names = ["n_chars", "s0", "s1", "s2", "s3"]
-    rows = rows.select("range", "nth", "guest", "doc_id", "kind", F.when(F.col("word").isNotNull(), F.xxhash64("word")).alias("term"), *[F.when(F.col("word").isNull(), F.col(f"info.{c}")).alias(c) for c in names])
-    key = ["range", "nth", "guest", "doc_id", "kind"]
-    terms = rows.groupBy(*key, "term").agg(F.count("*").alias("weight"), *[F.max(c).alias(c) for c in names])
-    signed = signatures(terms, key, samples)
-    m = [f"m{j}" for j in range(samples)]
-    # by descending kind, a document's edited text comes just before its own
-    one = Window.partitionBy("range").orderBy("nth", F.desc("kind"))
-    paired = signed.withColumns({f"e{j}": F.lag(f"m{j}").over(one) for j in range(samples)})
-    paired = paired.where("kind = 0")
-    paired = paired.withColumns({f"n{j}": F.lag(f"m{j}").over(Window.partitionBy("range").orderBy("nth")) for j in range(samples)})
-    own = paired.where("guest = 0")
-    hexed = F.lower(F.concat(*[F.lpad(F.hex(f"s{i}"), 16, "0") for i in range(4)]))
-    columns = {p: [F.col(f"{p}{j}") for j in range(samples)] for p in "men"}
-    return own.select(
-        "doc_id",
-        "n_chars",
-        hexed.alias("edited_sha256"),
-        fingerprint(samples, "m").alias("fingerprint"),
-        fingerprint(samples, "e").alias("edited_fingerprint"),
-        likeness(columns["m"], columns["e"]).alias("near_edited"),
-        likeness(columns["m"], columns["n"]).alias("near_next"),
+    return signed.select(
+        F.col("f_id").alias("doc_id"),
+        F.col("f_n_chars").alias("n_chars"),
+        F.lower(F.concat(*[F.lpad(F.hex(f"f_s{i}"), 16, "0") for i in range(4)])).alias("edited_sha256"),
+        fingerprint(F.col("text"), samples).alias("fingerprint"),
+        fingerprint(F.col("edited"), samples).alias("edited_fingerprint"),
+        likeness("text", "edited", samples).alias("near_edited"),
+        likeness("text", "next", samples).alias("near_next"),
     )
