@@ -1,9 +1,12 @@
 """Mixing sources to target weights by systematic sampling.
 
-Every document of a source is expected target / size times in the mix. Expected copies are prefix-summed within the
-source in the order of document sizes; one random offset is added, and a document is emitted once for each integer
-boundary that its step of the sum crosses. As sizes run in order, a source's taken words miss its target by its
-largest document at most.
+Every document of a source is expected some number of times in the mix. Expected copies are prefix-summed within the
+source; one random offset is added, and a document is emitted once for each integer boundary that its step of the sum
+crosses. The LARGEST documents of a source come first, by descending size, and each expects what is then left of the
+target as a share of what is left of the source: what a large document takes too much or too little is made up for by
+those after it. All others, by ascending size, share what is left of the target evenly. So a source's taken words miss its
+target by about one of its smallest documents, or by the largest of the others, which holds less than a part in LARGEST of
+the source.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ WEIGHTS = (1, 2, 3)
 #: No source is taken more than this many times over.
 MOST = 3
 SEED = 20
+#: Documents of a source, the largest, that are settled one after the other.
+LARGEST = 512
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
@@ -53,6 +58,28 @@ def offset(source, seed: int) -> F.Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 5), 16, 10).cast("double") / float(1 << 20)
 
 
+def settle(large, source_size, target, start, most: float) -> F.Column:
+    """From a source's largest documents, an array of (size, doc_id, row) by descending size: what they take, as a struct of
+    copies (map row -> copies), their words, and the words taken."""
+    begin = F.struct(
+        F.lit(0).cast("long").alias("seen"), F.lit(0).cast("long").alias("taken"), F.lit(0.0).alias("sum"), F.array().cast("array<long>").alias("copies")
+    )
+
+    def step(state, doc):
+        left = source_size - state["seen"]
+        rate = F.when(left > 0, (target - state["taken"]) / left).otherwise(0.0)
+        upto = state["sum"] + F.least(F.greatest(rate, F.lit(0.0)), F.lit(float(most)))
+        n = F.floor(upto + start) - F.floor(state["sum"] + start)
+        return F.struct(
+            (state["seen"] + doc["size"]).alias("seen"),
+            (state["taken"] + n * doc["size"]).alias("taken"),
+            upto.alias("sum"),
+            F.concat(state["copies"], F.array(n)).alias("copies"),
+        )
+
+    return F.aggregate(large, begin, step)
+
+
 def copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED) -> DataFrame:
     """(doc_id, size, source, source_size, target, copies) for every row of ``docs`` (doc_id, text, source).
 
@@ -64,14 +91,26 @@ def copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float =
     sized = sized.withColumn("one", F.lit(1).cast("long"))
     ranked = running_sums(sized, ["source", "size", "doc_id"], ["source"], "one", "mix-ranks")
     ranked = materialise(ranked.drop("one"), "mix")
-    shares = targets(ranked.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
-    shares = shares.withColumnRenamed("source", "s")
+    totals = materialise(ranked.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs")), "mix-sources")
+    shares = targets(totals.drop("n_docs"), weights, most)
+    shares = shares.join(totals.select(F.col("source").alias("t"), "n_docs"), F.col("source").eqNullSafe(F.col("t"))).drop("t").withColumnRenamed("source", "s")
+    shares = materialise(shares, "mix-targets")
     rows = ranked.join(shares, ranked["source"].eqNullSafe(shares["s"])).drop("s")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    # the order is ascending, so the largest have the last places: LARGEST rows for each source at most
+    first = F.greatest(F.col("n_docs") - LARGEST, F.lit(0))
+    large = rows.where(F.col("before") >= first).groupBy("source", "source_size", "target", "n_docs")
+    large = large.agg(F.sort_array(F.collect_list(F.struct("before", "size")), asc=False).alias("docs"))
+    settled = settle(F.col("docs"), F.col("source_size"), F.col("target"), offset(F.col("source"), seed), most)
+    settled = materialise(large.select("source", settled.alias("x")).select(F.col("source").alias("z"), "x.*"), "mix-largest")
+    rows = rows.join(settled.withColumnRenamed("copies", "settled"), rows["source"].eqNullSafe(settled["z"])).drop("z")
+    left = F.col("source_size") - F.col("seen")
+    rate = F.when(left > 0, (F.col("target") - F.col("taken")) / left).otherwise(0.0)
+    rate = F.least(F.greatest(rate, F.lit(0.0)), F.lit(float(most)))
     start = offset(F.col("source"), seed)
-    upto = F.floor((F.col("before") + 1) * rate + start) - F.floor(F.col("before") * rate + start)
-    taken = F.least(upto, F.ceil(F.lit(float(most)))).cast("long")
-    return rows.select("doc_id", "size", "source", "source_size", "target", taken.alias("copies"))
+    evenly = F.floor((F.col("before") + 1) * rate + start) - F.floor(F.col("before") * rate + start)
+    one = F.get("settled", (F.col("n_docs") - 1 - F.col("before")).cast("int"))
+    found = F.when(F.col("before") >= first, one).otherwise(F.least(evenly, F.ceil(F.lit(float(most)))))
+    return rows.select("doc_id", "size", "source", "source_size", "target", found.cast("long").alias("copies"))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED) -> DataFrame:
@@ -100,7 +139,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOS
 
 
 OP1_SQL = r"""
-WITH sized AS (
+WITH RECURSIVE sized AS (
   SELECT doc_id, source,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents
@@ -120,16 +159,32 @@ WITH sized AS (
          CASE WHEN level * weight >= cap THEN cap
               ELSE least(cap, max(CASE WHEN level * weight < cap THEN level END) OVER () * weight) END AS target
   FROM level
-), steps AS (
-  SELECT d.doc_id, d.size, s.source_size, s.target,
-         CASE WHEN s.source_size > 0 THEN s.target / s.source_size ELSE 0 END AS rate,
-         row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id) AS n,
+), ordered AS (
+  SELECT d.doc_id, d.size, d.source, s.source_size, s.target,
+         row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id) AS n, count(*) OVER (PARTITION BY d.source) AS n_docs,
          CAST('0x' || substr(md5('20:' || coalesce(d.source, chr(0) || 'null')), 1, 5) AS BIGINT) / 1048576.0::DOUBLE AS u
   FROM sized d JOIN shares s ON d.source IS NOT DISTINCT FROM s.source
+), large AS (
+  SELECT *, n_docs - n + 1 AS k FROM ordered WHERE n > n_docs - 512
+), settled AS (
+  SELECT source, 0::BIGINT AS k, 0::BIGINT AS seen, 0::BIGINT AS taken, 0.0::DOUBLE AS total, 0::BIGINT AS copies FROM shares
+  UNION ALL
+  SELECT source, k, seen + size, taken + size * CAST(floor(upto + u) - floor(total + u) AS BIGINT), upto, CAST(floor(upto + u) - floor(total + u) AS BIGINT)
+  FROM (
+    SELECT p.source, l.k, l.size, l.u, p.seen, p.taken, p.total,
+           p.total + least(greatest(CASE WHEN l.source_size > p.seen THEN (l.target - p.taken) / (l.source_size - p.seen) ELSE 0 END, 0.0), 3.0) AS upto
+    FROM settled p JOIN large l ON p.source IS NOT DISTINCT FROM l.source AND l.k = p.k + 1
+  )
+), ends AS (
+  SELECT source, arg_max(seen, k) AS seen, arg_max(taken, k) AS taken FROM settled GROUP BY source
+), rates AS (
+  SELECT o.*, e.seen, e.taken,
+         least(greatest(CASE WHEN o.source_size > e.seen THEN (o.target - e.taken) / (o.source_size - e.seen) ELSE 0 END, 0.0), 3.0)::DOUBLE AS rate
+  FROM ordered o JOIN ends e ON o.source IS NOT DISTINCT FROM e.source
 )
-SELECT doc_id, size, source_size, round(target, 6) AS target,
-       size * CAST(least(floor(n * rate + u) - floor((n - 1) * rate + u), 3) AS BIGINT) AS taken
-FROM steps
+SELECT r.doc_id, r.size, r.source_size, round(r.target, 6) AS target,
+       r.size * coalesce(x.copies, CAST(least(floor(r.n * r.rate + r.u) - floor((r.n - 1) * r.rate + r.u), 3) AS BIGINT)) AS taken
+FROM rates r LEFT JOIN settled x ON x.k > 0 AND x.source IS NOT DISTINCT FROM r.source AND x.k = r.n_docs - r.n + 1 AND r.n > r.n_docs - 512
 """
 
 
