@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 
 from loomwork.llm.common import materialise, partitions
 
-SAMPLES = 64
+SAMPLES = 48
+#: Positions that one row draws for: more in one aggregate are more code than the JVM compiles.
+PART = 16
 #: exp(-40) is 4e-18: the chance that a position of a text comes out empty.
 BOUND = 40.0
 #: Least doc_id; what stands for null in the order.
@@ -51,18 +53,30 @@ def sample(position: int) -> F.Column:
     return F.expr(f"case when cws_weight * {u2} < 1D then {at_once} when {least} * {u1} <= cws_bound * cws_weight then {c} * {beyond} end")
 
 
-def signatures(terms: DataFrame, key: list[str], samples: int = SAMPLES, words=None) -> DataFrame:
-    """One row per key with m0, m1, ...: from rows (key..., term long, weight). A null term counts for nothing.
+def drawn(terms: DataFrame, key: list[str], samples: int = SAMPLES, words=None) -> DataFrame:
+    """(key..., part, m, ...) from rows (key..., term long, weight, ...): per key and part, the samples of PART positions as
+    an array, and the largest of every other column. A null term counts for nothing.
 
     ``words``: how many words the row's text has; without it, no term is left out early.
     """
     bound = F.lit(BOUND) / words.cast("double") if words is not None else F.lit(float("inf"))
-    extra = {c: F.col(c) for c in terms.columns if c not in (*key, "term", "weight")}
-    w = F.col("weight").cast("double")
+    extra = [c for c in terms.columns if c not in (*key, "term", "weight")]
     # a null weight leaves every branch of a draw untaken
-    rows = terms.select(*key, *extra.values(), F.coalesce("term", F.lit(0)).alias("cws_term"), F.when(F.col("term").isNotNull(), w).alias("cws_weight"), bound.alias("cws_bound"))
-    rows = rows.withColumn("cws_ln", F.ln("cws_weight"))
-    return rows.groupBy(*key).agg(*[F.min(sample(j)).alias(f"m{j}") for j in range(samples)], *[F.max(c).alias(c) for c in extra])
+    weight = F.when(F.col("term").isNotNull(), F.col("weight").cast("double"))
+    rows = terms.select(*key, *extra, F.coalesce("term", F.lit(0)).alias("cws_term"), weight.alias("cws_weight"), bound.alias("cws_bound"))
+    parts = F.array(*[F.lit(i) for i in range(-(-samples // PART))])
+    rows = rows.select("*", F.ln("cws_weight").alias("cws_ln"), F.explode(parts).alias("part"))
+    rows = rows.withColumn("cws_term", F.xxhash64("cws_term", "part"))
+    n = min(samples, PART)
+    least = rows.groupBy(*key, "part").agg(*[F.min(sample(j)).alias(f"m{j}") for j in range(n)], *[F.max(c).alias(c) for c in extra])
+    return least.select(*key, "part", F.array(*[f"m{j}" for j in range(n)]).alias("m"), *extra)
+
+
+def signatures(terms: DataFrame, key: list[str], samples: int = SAMPLES) -> DataFrame:
+    """One row per key with m0, m1, ...: from rows (key..., term long, weight)."""
+    parts = drawn(terms.select(*key, "term", "weight"), key, samples).groupBy(*key)
+    rows = parts.agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", "m"))), lambda p: p["m"])).alias("m"))
+    return rows.select(*key, *[F.get("m", F.lit(j)).alias(f"m{j}") for j in range(samples)])
 
 
 def _signature(samples: int) -> F.Column:
@@ -182,14 +196,20 @@ def neighbours(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     n_words = F.when(F.col("kind") == 1, F.col("n_own")).when(F.col("kind") == 2, F.col("n_edited")).otherwise(F.least("n_own", "n_edited"))
     terms = terms.select(*doc, "fact", "term", F.inline(each))
     terms = terms.select("range", "nth", "kind", "term", "weight", F.greatest(n_words, F.lit(1)).alias("n_words"), *[F.when(F.col("fact") == i + 1, F.col("weight")).alias(c) for i, c in enumerate(_FACTS)])
-    signed = signatures(terms, ["range", "nth", "kind"], samples, F.col("n_words")).select("range", "nth", "kind", _signature(samples).alias("m"), *_FACTS)
-    # a document's rows follow each other by kind, and those of the next document come just before
-    one = Window.partitionBy("range").orderBy("nth", "kind")
-    signed = signed.withColumns({f"m{back}": F.lag("m", back).over(one) for back in (1, 2, 4, 6)} | {f"f_{c}": F.lag(c, 3).over(one) for c in _FACTS})
+    signed = drawn(terms, ["range", "nth", "kind"], samples, F.col("n_words"))
+    # a document's rows follow each other by kind and part, and those of the next document come just before
+    parts = -(-samples // PART)
+    one = Window.partitionBy("range").orderBy("nth", "kind", "part")
+
+    def before(kind: int, documents: int = 0) -> F.Column:
+        back = [4 * parts * documents + parts * (3 - kind) + i for i in range(parts - 1, -1, -1)]
+        return F.concat(*[F.lag("m", n).over(one) if n else F.col("m") for n in back])
+
     least = lambda a, b: F.zip_with(a, b, lambda x, y: F.least(x, y))
-    signed = signed.where("kind = 3 and f_guest = 0").select(
-        *[f"f_{c}" for c in _FACTS], least("m", "m2").alias("text"), least("m", "m1").alias("edited"), least("m4", "m6").alias("next")
-    )
+    found = {"text": (before(1), before(3)), "edited": (before(2), before(3)), "next": (before(1, 1), before(3, 1))}
+    signed = signed.withColumns({f"{name}_{i}": c for name, pair in found.items() for i, c in enumerate(pair)} | {f"f_{c}": F.lag(c, 3 * parts).over(one) for c in _FACTS})
+    signed = signed.where(f"kind = 3 and part = {parts - 1} and f_guest = 0")
+    signed = signed.select(*[f"f_{c}" for c in _FACTS], *[least(f"{name}_0", f"{name}_1").alias(name) for name in found])
     return signed.select(
         F.col("f_id").alias("doc_id"),
         F.col("f_n_chars").alias("n_chars"),
