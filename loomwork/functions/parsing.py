@@ -14,6 +14,9 @@ FENCED = r"(?s)```(?:json)?\s*(\{.*?\})\s*```"
 FENCED_LIST = r"(?s)```(?:json)?\s*(\[.*?\])\s*```"
 
 
+NOTES = "array<struct<step: int, issue: string, assessment: string>>"
+
+
 def _found(text: Column, pattern: str, group: int = 0) -> Column:
     return F.nullif(F.regexp_extract(F.coalesce(text, F.lit("")), pattern, group), F.lit(""))
 
@@ -101,6 +104,23 @@ def judge_score(answer: Column) -> Column:
     return F.coalesce(out, F.when(digit != "", digit.cast("double")), F.lit(3.0))
 
 
+def judge_notes(answer: Column) -> Column:
+    """What a judge found, array<struct<step, issue, assessment>>: the notes beside the score; none where it gives no JSON."""
+    answer = F.coalesce(answer, F.lit(""))
+    out = F.lit(None).cast(NOTES)
+    for pattern, group in ((r"(?s)\{.*\}", 0), (FENCED, 1)):
+        found = _found(answer, pattern, group)
+        held = F.get_json_object(found, "$.score")
+        usable = F.try_parse_json(found).isNotNull() & (held.isNull() | held.try_cast("double").isNotNull())
+        out = F.coalesce(out, F.when(usable, F.coalesce(F.from_json(found, f"notes {NOTES}")["notes"], F.from_json(F.lit("[]"), NOTES))))
+    return F.coalesce(out, F.from_json(F.lit("[]"), NOTES))
+
+
+def written_step(answer: Column) -> Column:
+    """The step that a model wrote as JSON; null without one."""
+    return _parsed(_found(answer, r"(?s)\{.*\}"), "type string, content string, evidence string, confidence string")
+
+
 def extraction(answer: Column) -> Column:
     """Entities and relations of known kinds, names lower-cased; relation ends need not be declared."""
     schema = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomwork.functions import chains, lexicons, schemas
+from loomwork.functions import chains, lexicons, parsing, schemas
 
 
 def select_candidates(candidates: DataFrame, clusters: DataFrame | None = None) -> DataFrame:
@@ -45,6 +45,11 @@ def _insert(steps: Column, index: Column, step: Column) -> Column:
     return F.concat(F.slice(steps, F.lit(1), place), F.array(step), F.slice(steps, place + 1, n))
 
 
+def action_queue(unified: Column) -> Column:
+    """A review's actions in the order of their execution."""
+    return ordered_actions(F.concat(unified["priority_actions"], unified["optional_improvements"]))
+
+
 def apply_actions(steps: Column, unified: Column) -> Column:
     """Priority actions, then optional ones, applied in order; steps are numbered anew at the end.
 
@@ -52,7 +57,46 @@ def apply_actions(steps: Column, unified: Column) -> Column:
     Texts that a model must write come in the parameters (revised_content, new_step, merged); an action without its
     text, or with a type or confidence that does not exist, changes nothing.
     """
-    actions = ordered_actions(F.concat(unified["priority_actions"], unified["optional_improvements"]))
+    return chains.reindexed(F.aggregate(action_queue(unified), steps.cast(schemas.STEPS), lambda state, a: apply_action(state, a)))
+
+
+def text_wanted(state: Column, a: Column) -> Column:
+    """The prompt for the text that an action lacks; null where it lacks none or its steps do not exist."""
+    p, target = a["params"], a["target_step"]
+    first = lambda number: F.get(F.filter(state, lambda s: s["step"] == number), 0)
+    said = lambda s: F.concat(F.lit("Step "), s["step"].cast("string"), F.lit(": "), s["content"])
+    reason = F.coalesce(a["reason"], F.lit(""))
+    before = F.filter(state, lambda s: s["step"] <= target)
+    around = F.array_join(F.transform(F.slice(before, F.greatest(F.size(before) - 1, F.lit(1)), F.lit(2)), said), "\n")
+    form = F.lit('Answer as JSON: {"type": "...", "content": "...", "confidence": "..."}')
+    old, one, two = first(target), first(p["step_a"]), first(p["step_b"])
+    empty = lambda c: F.coalesce(c, F.lit("")) == ""
+    return (
+        F.when((a["action"] == "revise_step") & empty(p["revised_content"]), F.concat(F.lit("Rewrite this step, and say nothing else. Why: "), reason, F.lit("\n"), old["content"]))
+        .when((a["action"] == "insert_step") & empty(p["new_step"]["content"]), F.concat(F.lit("Write the step that is missing at place "), target.cast("string"), F.lit(". Why: "), reason, F.lit("\n"), around, F.lit("\n"), form))
+        .when((a["action"] == "merge_steps") & p["merged"].isNull(), F.concat(F.lit("Merge these two steps into one.\n"), said(one), F.lit("\n"), said(two), F.lit("\n"), form))
+    )
+
+
+def with_text(a: Column, said: Column) -> Column:
+    """An action with the text that a model has written for it; as it is where the model said nothing that can be used."""
+    p, name = a["params"], a["action"]
+    step = parsing.written_step(said)
+    new, merged = F.when((name == "insert_step") & (F.coalesce(p["new_step"]["content"], F.lit("")) == ""), step), F.when(name == "merge_steps", step)
+    params = F.struct(
+        p["evidence"].alias("evidence"),
+        p["new_confidence"].alias("new_confidence"),
+        F.coalesce(F.nullif(p["revised_content"], F.lit("")), F.when((name == "revise_step") & (said != ""), said)).alias("revised_content"),
+        p["step_a"].alias("step_a"),
+        p["step_b"].alias("step_b"),
+        F.when(new.isNotNull(), F.struct(new["type"], F.coalesce(new["content"], F.lit("")).alias("content"), new["evidence"], new["confidence"])).otherwise(p["new_step"]).alias("new_step"),
+        F.when(p["merged"].isNull() & merged.isNotNull(), F.struct(merged["type"], merged["content"], merged["confidence"])).otherwise(p["merged"]).alias("merged"),
+    ).cast(schemas.PARAMS)
+    return F.when(said.isNull(), a).otherwise(a.withField("params", params))
+
+
+def apply_action(state: Column, action: Column, written: bool = False) -> Column:
+    """One action on the steps. A step to insert needs a text; ``written`` by a model, it may be empty."""
     number = lambda s: F.transform(s, lambda x: x["step"])
 
     def on_first(state: Column, target: Column, change) -> Column:
@@ -82,17 +126,18 @@ def apply_actions(steps: Column, unified: Column) -> Column:
         rest = F.filter(state, lambda s: ~s["step"].isin(p["step_a"], p["step_b"]))
         sure_new = F.coalesce(p["new_confidence"], F.lit("medium"))
         name = a["action"]
+        has_text = new["content"].isNotNull() if written else F.coalesce(new["content"], F.lit("")) != ""
         return (
             F.when(name == "remove_step", F.filter(state, lambda s: s["step"] != target))
             .when((name == "merge_steps") & got.isNotNull() & first.isNotNull() & second.isNotNull() & known(merged["type"], merged["confidence"]), _insert(rest, p["step_a"] - 1, merged))
             .when((name == "revise_step") & (F.coalesce(p["revised_content"], F.lit("")) != ""), on_first(state, target, lambda s: s.withField("content", p["revised_content"])))
-            .when((name == "insert_step") & (F.coalesce(new["content"], F.lit("")) != "") & known(kind, sure), _insert(state, target - 1, step))
+            .when((name == "insert_step") & has_text & known(kind, sure), _insert(state, target - 1, step))
             .when(name == "add_evidence", on_first(state, target, lambda s: s.withField("evidence", F.coalesce(p["evidence"], F.lit("")))))
             .when((name == "adjust_confidence") & sure_new.isin(*lexicons.CONFIDENCES), on_first(state, target, lambda s: s.withField("confidence", sure_new)))
             .otherwise(state)
         )
 
-    return chains.reindexed(F.aggregate(actions, steps.cast(schemas.STEPS), one))
+    return one(state, action)
 
 
 def stratified_sample(rows: DataFrame, stratum: str, key: str, n: int, seed: int = 42) -> DataFrame:

@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 from loomwork.functions import chains, parsing, prompts, schemas
 from loomwork.operators import chain_ops
 from loomwork.operators.durable import materialise
-from loomwork.plans.models import Chat, answered
+from loomwork.plans.models import Chat, answered, log_probabilities
 
-#: Looks up (query_id, text) and returns (query_id, evidence): one text per query.
+#: Looks up (query_id, text) and returns (query_id, evidence), one text per query, or (query_id, hits) with hits an
+#: array<struct<source: string, content: string>>.
 Lookup = Callable[[DataFrame], DataFrame]
+#: Characters of a hit that a reviewer is shown.
+HIT_CHARS = 200
 
 
 @dataclass
@@ -28,6 +31,10 @@ class Models:
     reviewer: Chat
     evaluator: Chat
     lookup: Lookup | None = None
+    #: writes the texts that actions lack; without it such actions change nothing
+    reviser: Chat | None = None
+    #: log-probabilities of the tokens of texts, for the perplexity
+    log_probs: Callable | None = None
 
 
 def _empty_steps() -> Column:
@@ -36,7 +43,17 @@ def _empty_steps() -> Column:
 
 def classify(items: DataFrame, model: Chat) -> DataFrame:
     asked = items.withColumn("p", F.concat(F.lit("Is this easy, medium or hard?\n"), F.col("question"), F.lit("\n"), F.col("answer")))
-    return answered(asked, "p", "said", model).withColumn("difficulty", parsing.difficulty(F.col("said"))).drop("p", "said")
+    said = answered(asked, "p", "classification_raw", model).drop("p")
+    return said.withColumn("difficulty", parsing.difficulty(F.col("classification_raw")))
+
+
+def looked_up(queries: DataFrame, lookup: Lookup) -> DataFrame:
+    """(query_id, evidence): hits as ``[source] content``, each cut to HIT_CHARS."""
+    got = lookup(queries)
+    if "hits" in got.columns:
+        shown = F.transform("hits", lambda h: F.concat(F.lit("["), h["source"], F.lit("] "), F.substring(h["content"], 1, HIT_CHARS)))
+        got = got.withColumn("evidence", F.nullif(F.array_join(shown, "; "), F.lit("")))
+    return got.select("query_id", "evidence")
 
 
 def react(rows: DataFrame, models: Models, rounds: int = 5) -> DataFrame:
@@ -60,7 +77,7 @@ def react(rows: DataFrame, models: Models, rounds: int = 5) -> DataFrame:
         wanted = F.trim(F.regexp_extract("action", r"^retrieve:(.*)$", 1))
         if models.lookup:
             key = F.concat_ws("/", "item_id", "candidate")
-            got = models.lookup(going.select(key.alias("query_id"), wanted.alias("text")).where("text <> ''"))
+            got = looked_up(going.select(key.alias("query_id"), wanted.alias("text")).where("text <> ''"), models.lookup)
             going = going.withColumn("query_id", key).join(got.select("query_id", "evidence"), "query_id", "left").drop("query_id")
         else:
             going = going.withColumn("evidence", F.lit(None).cast("string"))
@@ -96,32 +113,68 @@ def draft(items: DataFrame, models: Models) -> DataFrame:
     grouped = answered(many, "p", "said", models.thinker).select("item_id", parsing.clusters(F.col("said"), F.col("n")).alias("clusters"))
     grouped = materialise(grouped.where("clusters is not null"), "clusters")
     best = chain_ops.select_candidates(made.select("item_id", "candidate", "steps", "react_rounds"), grouped)
-    return items.join(best.select("item_id", "steps", "react_rounds"), "item_id")
+    chosen = items.join(best.select("item_id", "steps", "react_rounds", F.col("candidate").alias("self_consistency_selected")), "item_id")
+    return socratic(chosen, models)
 
 
 def review(items: DataFrame, models: Models, feedback: Column | None = None) -> DataFrame:
-    """Adds ``unified``, the review's actions: logic for all, facts for all but easy ones, then both joined."""
+    """Adds ``unified``, the review's actions: logic for all, facts for all but easy ones, then both joined; and appends
+    both critiques to ``critiques``, array<struct<phase, issues>>, with issues as JSON.
+
+    Each factual step is shown with what was found for it, in the order of the steps, and the question with what was
+    found to fill gaps.
+    """
+    if "critiques" not in items.columns:
+        items = items.withColumn("critiques", F.array().cast(CRITIQUES))
     text = chains.chain_text(F.col("steps"))
     rows = items.withColumn("p", F.concat(F.lit("List the logical issues as a JSON array.\n"), text))
     rows = answered(rows, "p", "logic", models.reviewer).drop("p")
     if models.lookup:
-        facts = rows.where("difficulty <> 'easy'").select("item_id", F.posexplode(F.concat(F.transform(chains.factual_steps(F.col("steps")), lambda s: s["content"]), F.array("question"))).alias("at", "text"))
-        got = models.lookup(facts.select(F.concat_ws("/", "item_id", "at").alias("query_id"), "text"))
-        got = got.withColumn("item", F.substring_index("query_id", "/", 1)).groupBy("item").agg(F.array_join(F.array_sort(F.collect_list("evidence")), "\n").alias("facts"))
-        rows = rows.join(got, rows["item_id"].cast("string") == got["item"], "left").drop("item")
+        about = F.transform(chains.factual_steps(F.col("steps")), lambda s: F.struct(F.concat(F.lit("Step "), s["step"].cast("string"), F.lit(": ")).alias("label"), s["content"].alias("text")))
+        gap = F.struct(F.lit(None).cast("string").alias("label"), F.col("question").alias("text"))
+        asked = rows.where("difficulty <> 'easy'").select("item_id", F.posexplode(F.concat(about, F.array(gap))).alias("at", "q"))
+        asked = materialise(asked.select(F.concat_ws("/", "item_id", "at").alias("query_id"), "item_id", "at", "q.label", "q.text"), "fact-queries")
+        got = looked_up(asked.select("query_id", "text"), models.lookup).where("evidence is not null and evidence <> ''")
+        got = asked.select("query_id", "item_id", "at", "label").join(got, "query_id")
+        facts = F.transform(F.array_sort(F.collect_list(F.when(F.col("label").isNotNull(), F.struct("at", F.concat("label", "evidence").alias("line"))))), lambda x: x["line"])
+        got = got.groupBy(F.col("item_id").alias("f_item")).agg(F.nullif(F.array_join(facts, "\n"), F.lit("")).alias("facts"), F.max(F.when(F.col("label").isNull(), F.col("evidence"))).alias("gaps"))
+        rows = rows.join(got, rows["item_id"] == got["f_item"], "left").drop("f_item")
     else:
-        rows = rows.withColumn("facts", F.lit(None).cast("string"))
-    rows = rows.withColumn("p", F.concat(F.lit("Check against the evidence, list issues as a JSON array.\n"), text, F.lit("\n"), F.coalesce("facts", F.lit("No fact-check evidence retrieved."))))
-    rows = materialise(answered(rows, "p", "external", models.reviewer).drop("p", "facts"), "critiques")
-    external = F.when(F.col("difficulty") == "easy", F.lit("No issues found.")).otherwise(prompts.critique_text(parsing.issues(F.col("external"))))
-    logic = prompts.critique_text(parsing.issues(F.col("logic")))
+        rows = rows.withColumns({"facts": F.lit(None).cast("string"), "gaps": F.lit(None).cast("string")})
+    shown = [F.coalesce("facts", F.lit("No fact-check evidence retrieved.")), F.lit("\nFor gaps:\n"), F.coalesce("gaps", F.lit("No gap-fill evidence retrieved."))]
+    ask = F.concat(F.lit("Check against the evidence, list issues as a JSON array.\n"), text, F.lit("\n"), *shown)
+    easy = F.col("difficulty") == "easy"
+    checked = answered(rows.where(~easy).withColumn("p", ask), "p", "external", models.reviewer).drop("p", "facts", "gaps")
+    rows = materialise(checked.unionByName(rows.where(easy).drop("facts", "gaps").withColumn("external", F.lit(None).cast("string"))), "critiques")
+    logic, external = prompts.critique_text(parsing.issues(F.col("logic"))), prompts.critique_text(parsing.issues(F.col("external")))
+    made = F.array(*[F.struct(F.lit(phase).alias("phase"), F.coalesce(F.to_json(parsing.issues(F.col(c))), F.lit("[]")).alias("issues")) for phase, c in (("A_internal", "logic"), ("B_external", "external"))])
+    rows = rows.withColumn("critiques", F.concat("critiques", F.when(easy, F.slice(made, 1, 1)).otherwise(made)))
     rows = rows.withColumn("p", F.concat(F.lit("Join the critiques into actions, as JSON.\n"), logic, F.lit("\n"), external, feedback if feedback is not None else F.lit("")))
     return answered(rows, "p", "said", models.reviewer).withColumn("unified", parsing.unified_actions(F.col("said"))).drop("p", "said", "logic", "external")
 
 
-def revise(items: DataFrame) -> DataFrame:
-    """Adds ``revised``: easy items keep their draft."""
-    return items.withColumn("revised", F.when(F.col("difficulty") == "easy", F.col("steps")).otherwise(chain_ops.apply_actions(F.col("steps"), F.col("unified"))))
+def revise(items: DataFrame, models: Models | None = None) -> DataFrame:
+    """Adds ``revised``: easy items keep their draft, the others' actions are applied in order.
+
+    With a reviser, actions that lack a text get it from the model, one action of every item at a time: what a model is
+    shown is what the actions before have left. Items whose actions lack nothing are revised at once.
+    """
+    reviser = models.reviser if models else None
+    at_once = F.when(F.col("difficulty") == "easy", F.col("steps")).otherwise(chain_ops.apply_actions(F.col("steps"), F.col("unified")))
+    if reviser is None:
+        return items.withColumn("revised", at_once)
+    queue = F.when(F.col("difficulty") == "easy", F.array().cast(schemas.ACTIONS)).otherwise(chain_ops.action_queue(F.col("unified")))
+    rows = materialise(items.withColumns({"queue": queue, "state": F.col("steps").cast(schemas.STEPS)}), "revision")
+    longest = rows.agg(F.max(F.size("queue"))).first()[0] or 0
+    for i in range(longest):
+        rows = rows.withColumn("p", chain_ops.text_wanted(F.col("state"), F.get("queue", F.lit(i))))
+        asked = answered(rows.where("p is not null"), "p", "written", reviser)
+        rows = asked.unionByName(rows.where("p is null").withColumn("written", F.lit(None).cast("string")))
+        action = F.get("queue", F.lit(i))
+        done = chain_ops.apply_action(F.col("state"), chain_ops.with_text(action, F.col("written")), written=True)
+        rows = materialise(rows.withColumn("state", F.when(action.isNull(), F.col("state")).otherwise(done)).drop("p", "written"), "revision")
+    final = F.when(F.col("difficulty") == "easy", F.col("steps")).otherwise(chains.reindexed(F.col("state")))
+    return rows.withColumn("revised", final).drop("queue", "state")
 
 
 def socratic(items: DataFrame, models: Models, rounds: int = 3) -> DataFrame:
@@ -135,7 +188,7 @@ def socratic(items: DataFrame, models: Models, rounds: int = 3) -> DataFrame:
         said = materialise(answered(open_rows.withColumn("p", F.concat(F.lit("Revise the chain as JSON, or retrieve: <query>.\n"), text, F.lit("\n"), F.col("notes"))), "p", "said", models.thinker).drop("p"), "socratic")
         wanted, found = parsing.retrieve_request(F.col("said")), parsing.chain_steps(F.col("said"))
         if models.lookup:
-            got = models.lookup(said.select(F.col("item_id").cast("string").alias("query_id"), wanted.alias("text")).where("text is not null"))
+            got = looked_up(said.select(F.col("item_id").cast("string").alias("query_id"), wanted.alias("text")).where("text is not null"), models.lookup)
             said = said.join(got.select(F.col("query_id").alias("q"), "evidence"), F.col("item_id").cast("string") == F.col("q"), "left").drop("q")
             said = said.withColumn("better", F.when(wanted.isNull() & (F.size(found) > 0), found))
             said = said.withColumn("notes", F.concat("notes", F.lit("\n"), F.coalesce("evidence", F.lit("")))).drop("evidence")
@@ -145,28 +198,48 @@ def socratic(items: DataFrame, models: Models, rounds: int = 3) -> DataFrame:
     return active.withColumn("steps", F.coalesce("better", "steps")).drop("better", "notes")
 
 
+CRITIQUES = "array<struct<phase: string, issues: string>>"
+
+
 def evaluate(items: DataFrame, models: Models, steps: str = "revised") -> DataFrame:
-    """Adds ``scores``: rule-based metrics, two judged ones and their weighted sum."""
+    """Adds ``scores``: rule-based metrics, two judged ones, their weighted sum and, with a model for it, the perplexity;
+    and the judges' notes, ``faithfulness_notes`` and ``logic_notes``."""
     text, rows = chains.chain_text(F.col(steps)), items
     for name in ("faithfulness", "logical_completeness"):
         rows = answered(rows.withColumn("p", F.concat(F.lit(f"Score the {name} of this reasoning from 1 to 5, as JSON.\n"), text)), "p", f"{name}_said", models.evaluator).drop("p")
+    if models.log_probs:
+        rows = log_probabilities(rows.withColumn("p", text), "p", "log_probs", models.log_probs).drop("p")
+    else:
+        rows = rows.withColumn("log_probs", F.lit(None).cast("array<double>"))
     rows = materialise(rows, "judged")
     found = chains.auto_metrics(F.col(steps)) | {n: parsing.judge_score(F.col(f"{n}_said")) for n in ("faithfulness", "logical_completeness")}
     names = ("faithfulness", "structure", "information_density", "logical_completeness", "traceability", "step_order")
-    scores = F.struct(*[found[n].alias(n) for n in names], chains.overall(found).alias("overall"), F.lit(None).cast("double").alias("ppl"))
-    return rows.withColumn("scores", scores).drop("faithfulness_said", "logical_completeness_said")
+    scores = F.struct(*[found[n].alias(n) for n in names], F.round(chains.overall(found), 3).alias("overall"), chains.perplexity(F.col("log_probs")).alias("ppl"))
+    notes = {"faithfulness_notes": parsing.judge_notes(F.col("faithfulness_said")), "logic_notes": parsing.judge_notes(F.col("logical_completeness_said"))}
+    return rows.withColumns({"scores": scores} | notes).drop("faithfulness_said", "logical_completeness_said", "log_probs")
 
 
 def run(items: DataFrame, models: Models, done: DataFrame | None = None, hard_below: float = 3.0, medium_below: float = 3.0) -> DataFrame:
-    """(item_id, question, answer, difficulty, steps, unified, revised, scores, retried) for items not in ``done``."""
+    """Whole items for those not in ``done``: (item_id, question, answer, question_type, difficulty, steps, unified, revised,
+    scores, critiques, metadata, ...).
+
+    ``steps`` is the draft that the last review saw, ``draft`` the first; ``unified`` are the first review's actions.
+    Critiques of both rounds are kept. A null or missing question type is Unknown.
+    """
     if done is not None:
         items = chain_ops.unfinished(items, done, "item_id")
+    kind = F.col("question_type") if "question_type" in items.columns else F.lit(None).cast("string")
+    items = items.withColumn("question_type", F.coalesce(kind, F.lit("Unknown")))
     rows = materialise(draft(materialise(classify(items, models.classifier), "classified"), models), "drafts")
-    first = materialise(evaluate(revise(materialise(review(rows, models), "reviewed")), models), "evaluated")
+    rows = rows.withColumn("draft", F.col("steps"))
+    first = materialise(evaluate(revise(materialise(review(rows, models), "reviewed"), models), models), "evaluated")
     again = chains.needs_retry(F.col("difficulty"), F.col("scores.overall"), F.col("scores.faithfulness"), hard_below, medium_below)
     kept, retry = first.where(~again), first.where(again)
-    notes = F.lit(None).cast("array<struct<step: int, issue: string, assessment: string>>")
-    note = prompts.feedback_text(F.col("scores"), notes, notes)
-    retry = retry.withColumn("steps", F.col("revised"))
-    second = evaluate(revise(materialise(review(retry.drop("unified", "revised"), models, note).drop("scores"), "reviewed-again")), models)
-    return kept.withColumn("retried", F.lit(False)).unionByName(second.withColumn("retried", F.lit(True)))
+    note = prompts.feedback_text(F.col("scores"), F.col("faithfulness_notes"), F.col("logic_notes"))
+    retry = retry.withColumns({"steps": F.col("revised"), "first_actions": F.col("unified")})
+    second = review(retry.drop("unified", "revised"), models, note).drop("scores", "faithfulness_notes", "logic_notes")
+    second = evaluate(revise(materialise(second, "reviewed-again"), models), models)
+    second = second.withColumn("unified", F.col("first_actions")).drop("first_actions")
+    out = kept.withColumn("retried", F.lit(False)).unionByName(second.withColumn("retried", F.lit(True)))
+    metadata = F.struct("classification_raw", chains.samples_for(F.col("difficulty")).alias("n_samples"))
+    return out.withColumn("metadata", metadata).drop("classification_raw")

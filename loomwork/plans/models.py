@@ -37,6 +37,21 @@ def answered(rows: DataFrame, prompt: str, answer: str, model: Chat, attempts: i
     return rows.mapInPandas(call, schema)
 
 
+def log_probabilities(rows: DataFrame, text: str, out: str, model: Callable[[Sequence[str]], Sequence[Sequence[float] | None]]) -> DataFrame:
+    """Adds the tokens' log-probabilities of the text in ``text``; null where the model has none or fails."""
+    schema = T.StructType([*rows.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))])
+
+    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            try:
+                found = [None if x is None else [float(v) for v in x] for x in model(batch[text].tolist())]
+            except Exception:
+                found = [None] * len(batch)
+            yield batch.assign(**{out: pd.Series(found, dtype=object, index=batch.index)})
+
+    return rows.mapInPandas(call, schema)
+
+
 def embedded(rows: DataFrame, text: str, vector: str, model: Embed, batch: int = 16) -> DataFrame:
     """Adds unit vectors of the text in ``text``, asked for ``batch`` at a time."""
     schema = T.StructType([*rows.schema.fields, T.StructField(vector, T.ArrayType(T.FloatType()))])

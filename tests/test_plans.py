@@ -53,6 +53,78 @@ def test_enrichment_and_resume(spark):
     assert [r.item_id for r in left.select("item_id").collect()] == [1]
 
 
+def test_texts_that_models_write_notes_and_evidence_by_step(spark):
+    """One hard item through both reviews, against what a plain reading of the stages gives."""
+    actions = [
+        {"action": "insert_step", "target_step": 2, "reason": "gap"},
+        {"action": "revise_step", "target_step": 2, "reason": "vague"},
+        {"action": "merge_steps", "target_step": 1, "params": {"step_a": 1, "step_b": 3}},
+        {"action": "revise_step", "target_step": 9, "reason": "no such step"},
+    ]
+
+    def reviser(prompts):
+        out = []
+        for p in prompts:
+            if p.startswith("Merge"):
+                assert "Step 1: The soil is acid" in p and "Step 3: So apply lime" in p
+                out.append('{"content": "merged", "type": "context_setup"}')
+            elif p.startswith("Rewrite"):
+                assert "vague" in p and "Lime raises" in p
+                out.append("rewritten")
+            else:
+                # the merge and the revision have come before
+                assert "merged" in p and "rewritten" in p and "gap" in p
+                out.append('Here: {"content": "inserted", "type": "knowledge_application", "confidence": "low"}')
+        return out
+
+    def reviewer(prompts):
+        out = []
+        for p in prompts:
+            if p.startswith("Join"):
+                assert "unclear" in p
+                second = "Evaluator Feedback" in p
+                assert not second or ("Step 2: weak" in p and "faithfulness=4.0" in p)
+                out.append(json.dumps({"priority_actions": [] if second else actions}))
+            elif p.startswith("Check"):
+                assert "For gaps:\n[wiki] found a hard one" in p
+                assert "rewritten" in p or "Step 2: [wiki] found Lime raises" in p
+                out.append('[{"issue": "unclear"}]')
+            else:
+                out.append("none")
+        return out
+
+    def evaluator(prompts):
+        return ['{"score": 4, "notes": [{"step": 2, "issue": "weak"}]}' if "faithfulness" in p else "3" for p in prompts]
+
+    def thinker(prompts):
+        out = []
+        for p in prompts:
+            if p.startswith("Challenge"):
+                out.append('[{"step": 1, "question": "why lime?"}]')
+            elif p.startswith("Revise the chain"):
+                assert "why lime?" in p
+                out.append(CHAIN.replace("needs lime", "needs it"))
+            elif p.startswith("Group"):
+                out.append("")
+            else:
+                out.append("Thought 1: known\nAction: FINISH\n" + CHAIN)
+        return out
+
+    def hits(queries):
+        return queries.select("query_id", F.array(F.struct(F.lit("wiki").alias("source"), F.concat(F.lit("found "), F.col("text")).alias("content"))).alias("hits"))
+
+    items = spark.createDataFrame([(1, "a hard one", "lime", None)], "item_id int, question string, answer string, question_type string")
+    scripted = enrichment.Models(classifier, thinker, reviewer, evaluator, hits, reviser, lambda texts: [[-1.0, -3.0] for _ in texts])
+    row = enrichment.run(items, scripted).first()
+    assert row.question_type == "Unknown" and row.metadata.n_samples == 3 and row.metadata.classification_raw == "hard"
+    # the Socratic pass has rewritten the draft
+    assert [s.content for s in row.draft] == ["The soil is acid and needs it.", "Lime raises the pH of the soil.", "So apply lime to the whole field."]
+    assert [(s.step, s.content) for s in row.revised] == [(1, "merged"), (2, "inserted"), (3, "rewritten")]
+    assert [(c.phase, c.issues) for c in row.critiques] == [("A_internal", "[]"), ("B_external", '[{"issue":"unclear"}]')] * 2
+    assert row.retried and len(row.unified.priority_actions) == 4 and abs(row.scores.ppl - 7.38905609893065) < 1e-9
+    assert [(n.step, n.issue) for n in row.faithfulness_notes] == [(2, "weak")]
+
+
 def test_fallback_chain(spark):
     items = spark.createDataFrame([(1, 0, "q", "a")], "item_id int, candidate int, question string, answer string")
     silent = enrichment.Models(classifier, lambda ps: ["Thought 1: hm\nAction 1: retrieve: x"] * len(ps), reviewer, evaluator, lookup)
