@@ -48,9 +48,7 @@ def density(text: Column, filler: Sequence[str] = lex.FILLER_WORDS, stopchars: s
     """Share of words that are not filler; for mostly Chinese text, of characters that are not stop characters."""
     text = F.coalesce(text, F.lit(""))
     own = words(F.lower(text))
-    known = F.array(*[F.lit(w) for w in filler])
-    bare = F.transform(own, lambda w: F.regexp_replace(w, r"^[.,;:!?\"'()\[\]{}]+|[.,;:!?\"'()\[\]{}]+$", ""))
-    plain = F.size(F.filter(bare, lambda w: ~F.array_contains(known, w)))
+    plain = F.size(F.filter(own, lambda w: ~F.btrim(w, F.lit(".,;:!?\"'()[]{}")).isin(*filler)))
     total = _cjk_count(text)
     stops = F.char_length(F.regexp_replace(text, f"[^{stopchars}]", ""))
     latin = F.when(F.size(own) > 0, plain / F.size(own)).otherwise(0.0)

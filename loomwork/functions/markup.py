@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loomwork.functions import lexicons as lex
 
-#: Nesting levels of templates and tables that are peeled; one replacement removes the innermost level.
-LEVELS = 8
+#: Innermost templates and tables, what opens and closes them, and what opens them. Fixed values, like the patterns of
+#: both rule lists: they define the output.
+NESTED = (
+    (r"\{\{[^{}]*\}\}", r"\{\{|\}\}", "{{"),
+    (r"\{\|[^{}]*\|\}", r"\{\||\|\}", "{|"),
+)
 
 
 def _apply(text: Column, rules: list[tuple[str, str]]) -> Column:
@@ -17,13 +24,17 @@ def _apply(text: Column, rules: list[tuple[str, str]]) -> Column:
     return text
 
 
-def wikitext_rules(levels: int = LEVELS) -> list[tuple[str, str]]:
-    """Replacements, in order, for dump wikitext: comments, references, tag blocks, templates, tables, links, quotes, entities."""
+def rules_before() -> list[tuple[str, str]]:
+    """Replacements for dump wikitext that come before templates and tables: comments, references, tag blocks."""
     rules = [(r"(?s)<!--.*?-->", ""), (r"(?s)<ref[^>]*>.*?</ref>", ""), (r"<ref[^/]*/?\s*>", "")]
     rules += [(rf"(?s)<{t}[^>]*>.*?</{t}>", "") for t in lex.BLOCK_TAGS]
     rules += [(rf"(?s)<{t}>.*?</{t}>", "") for t in lex.BARE_BLOCK_TAGS]
-    rules += [(r"\{\{[^{}]*\}\}", "")] * levels + [(r"\{\|[^{}]*\|\}", "")] * levels
-    return rules + [
+    return rules
+
+
+def rules_after() -> list[tuple[str, str]]:
+    """Those that come after: links, quotes, headings, character references, tags, white space."""
+    return [
         (r"(?i)\[\[(?:Category|File|Image):[^\]]*\]\]", ""),
         (r"\[\[[^\]|]*\|([^\]]*)\]\]", "$1"),
         (r"\[\[([^\]]*)\]\]", "$1"),
@@ -43,6 +54,23 @@ def wikitext_rules(levels: int = LEVELS) -> list[tuple[str, str]]:
     ]
 
 
+def wikitext_rules(levels: int = 8) -> list[tuple[str, str]]:
+    """All replacements in order, for text whose templates and tables nest ``levels`` deep at most."""
+    return rules_before() + [(pattern, "") for pattern, _, _ in NESTED for _ in range(levels)] + rules_after()
+
+
+def peeled(text: Column, pattern: str, signs: str, opening: str) -> Column:
+    """Text without what ``pattern`` finds, innermost first, until nothing is found: as often as the signs nest, and once more."""
+    start = F.struct(F.lit(0).alias("open"), F.lit(0).alias("deepest"))
+
+    def step(state: Column, sign: Column) -> Column:
+        now = F.when(sign == opening, state["open"] + 1).otherwise(F.greatest(state["open"] - 1, F.lit(0)))
+        return F.struct(now.alias("open"), F.greatest(state["deepest"], now).alias("deepest"))
+
+    depth = F.aggregate(F.regexp_extract_all(text, F.lit(f"({signs})"), 1), start, step, lambda s: s["deepest"])
+    return F.aggregate(F.sequence(F.lit(0), F.coalesce(depth, F.lit(0))), text, lambda t, _: F.regexp_replace(t, pattern, ""))
+
+
 #: The shorter list for pages fetched one by one: templates are peeled once.
 SIMPLE_RULES = [
     (r"\{\{[^{}]*\}\}", ""),
@@ -60,9 +88,12 @@ SIMPLE_RULES = [
 ]
 
 
-def clean_wikitext(text: Column, levels: int = LEVELS) -> Column:
-    """Dump wikitext as plain text."""
-    return strip(_apply(text, wikitext_rules(levels)))
+def clean_wikitext(text: Column) -> Column:
+    """Dump wikitext as plain text; templates and tables go however deep they nest."""
+    text = _apply(text, rules_before())
+    for pattern, signs, opening in NESTED:
+        text = peeled(text, pattern, signs, opening)
+    return strip(_apply(text, rules_after()))
 
 
 def clean_wikitext_simple(text: Column) -> Column:
@@ -106,11 +137,25 @@ def html_sections(html: Column, least_page: int = 500, least_text: int = 200) ->
 
 
 def plain(html: Column) -> Column:
-    """Text of markup, its commonest character references decoded."""
-    text = F.regexp_replace(html, r"<[^>]+>", "")
-    for name, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(name), F.lit(sign))
-    return text
+    """Text of markup, its character references decoded."""
+    return decoded(F.regexp_replace(html, r"<[^>]+>", ""))
+
+
+def decoded(text: Column) -> Column:
+    """Text with numeric and HTML5's named character references decoded, each once; unknown ones stay."""
+    names = {name[:-1]: sign for name, sign in html5.items() if name.endswith(";")}
+    table = F.from_json(F.lit(json.dumps(names)), "map<string, string>")
+
+    def part(p: Column) -> Column:
+        name = F.regexp_extract(p, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        digits = F.regexp_extract(name, r"^#[xX]?([0-9a-fA-F]+)$", 1)
+        code = F.when(F.rlike(name, F.lit("^#[xX]")), F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")
+        legal = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        sign = F.when(F.startswith(name, F.lit("#")), F.when(legal, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))).otherwise(F.try_element_at(table, name))
+        return F.when((name != "") & sign.isNotNull(), F.concat(sign, F.substr(p, F.char_length(name) + 2))).otherwise(F.concat(F.lit("&"), p))
+
+    parts = F.split(text, "&")
+    return F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(part(p))), "")
 
 
 def collapse(text: Column) -> Column:
@@ -123,7 +168,8 @@ def links(html: Column, title: Column | None = None, prefix: str = r"\./|/wiki/"
     special = F.array(*[F.lit(start) for start in lex.LINK_SKIP])
     found = F.filter(found, lambda x: ~F.exists(special, lambda start: F.startswith(x, start)))
     # url_decode reads + as a space, which links do not
-    names = F.transform(found, lambda x: F.replace(F.try_url_decode(F.replace(x, F.lit("+"), F.lit("%2B"))), F.lit("_"), F.lit(" ")))
+    # what cannot be decoded stays as it is
+    names = F.transform(found, lambda x: F.replace(F.coalesce(F.try_url_decode(F.replace(x, F.lit("+"), F.lit("%2B"))), x), F.lit("_"), F.lit(" ")))
     if title is not None:
         names = F.filter(names, lambda x: x != title)
     return F.slice(F.array_distinct(names), 1, limit)

@@ -141,11 +141,12 @@ def apply_action(state: Column, action: Column, written: bool = False) -> Column
 
 
 def stratified_sample(rows: DataFrame, stratum: str, key: str, n: int, seed: int = 42) -> DataFrame:
-    """min(max(1, n // strata), its size) rows of each stratum, chosen by hash; trimmed to n. A null stratum is Unknown."""
+    """min(max(1, n // strata), its size) rows of each stratum, chosen by an MD5 of seed and key; trimmed to n. A null
+    stratum is Unknown."""
     rows = rows.withColumn("__stratum", F.coalesce(F.col(stratum).cast("string"), F.lit("Unknown")))
     strata = rows.select("__stratum").distinct().count()
     each = max(1, n // max(1, strata))
-    draw = F.xxhash64(F.col(key), F.lit(seed))
+    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
     w = Window.partitionBy("__stratum").orderBy(draw, key)
     out = rows.withColumn("__nth", F.row_number().over(w)).where(F.col("__nth") <= each)
     out = out.withColumn("__draw", draw).orderBy("__nth", "__draw", key).limit(n)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomwork.functions.markup import strip
 from loomwork.functions.text import word_count
-from loomwork.operators.durable import numbered
+from loomwork.operators.durable import materialise, numbered
 
 
 def split_sections(articles: DataFrame, key: str, text: str, least: int = 50) -> DataFrame:
@@ -31,10 +31,11 @@ def split_sections(articles: DataFrame, key: str, text: str, least: int = 50) ->
 
 def pack(parts: Column, most: int) -> Column:
     """Greedy packing of texts, joined by spaces, into texts of ``most`` words; a longer one stays whole."""
+    counted = F.transform(parts, lambda p: F.struct(p.alias("text"), word_count(p).alias("n")))
     start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"), F.lit(0).alias("n"))
 
-    def add(state: Column, part: Column) -> Column:
-        n = word_count(part)
+    def add(state: Column, counted_part: Column) -> Column:
+        part, n = counted_part["text"], counted_part["n"]
         full = (state["open"] != "") & (state["n"] + n > most)
         return F.struct(
             F.when(full, F.array_append(state["done"], state["open"])).otherwise(state["done"]).alias("done"),
@@ -42,7 +43,7 @@ def pack(parts: Column, most: int) -> Column:
             F.when(full, n).otherwise(state["n"] + n).alias("n"),
         )
 
-    return F.aggregate(parts, start, add, lambda s: F.when(s["open"] != "", F.array_append(s["done"], s["open"])).otherwise(s["done"]))
+    return F.aggregate(counted, start, add, lambda s: F.when(s["open"] != "", F.array_append(s["done"], s["open"])).otherwise(s["done"]))
 
 
 def passages_of(text: Column, most: int = 400) -> Column:
@@ -64,7 +65,8 @@ def chunk(articles: DataFrame, key: str, sections: Column, least: int = 100, mos
     rows = rows.where(word_count(F.col("text")) >= least)
     if not ids:
         return rows
-    rows = numbered(rows, [key, "section_index", "passage_index"], "number")
+    # written before it is dealt by ranges, which reads it twice
+    rows = numbered(materialise(rows, "chunks"), [key, "section_index", "passage_index"], "number")
     return rows.withColumn("id", F.concat(F.lit("passage_"), F.col("number").cast("string"))).drop("number")
 
 

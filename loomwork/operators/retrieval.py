@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomwork.functions.text import tokens
+from loomwork.operators.durable import materialise
 
 K1, B, FLOOR = 1.5, 0.75, 0.25
 RRF_K = 60
@@ -16,30 +17,52 @@ RRF_K = 60
 
 @dataclass
 class SparseIndex:
-    """``weights``: (doc_id, term, weight), one row for each document and term; a query is a join and a sum."""
+    """``postings``: (doc_id, dl, term, tf), one row for each document and term; ``terms``: (term, idf, avg_dl, k1, b).
 
-    weights: DataFrame
+    A query is two joins and a sum. Both tables are written once when the index is built.
+    """
+
+    postings: DataFrame
+    terms: DataFrame
 
     @classmethod
     def build(cls, docs: DataFrame, key: str, text: str, k1: float = K1, b: float = B, floor: float = FLOOR) -> SparseIndex:
         """Okapi BM25. A term in more than half of the documents has a negative idf, which becomes ``floor`` times the mean."""
-        rows = docs.select(F.col(key).alias("doc_id"), tokens(F.col(text)).alias("words"))
-        sizes = rows.select("doc_id", F.size("words").alias("dl"))
-        stats = sizes.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avg_dl"))
-        postings = rows.select("doc_id", F.size("words").alias("dl"), F.explode("words").alias("term")).groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
+        rows = docs.select(F.col(key).alias("doc_id"), tokens(F.coalesce(F.col(text), F.lit(""))).alias("words"))
+        # the null word stands for the document itself, so that texts are cut once and empty ones count
+        words = F.concat("words", F.array(F.lit(None).cast("string")))
+        rows = rows.select("doc_id", F.size("words").alias("dl"), F.explode(words).alias("term"))
+        postings = materialise(rows.groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf")), "postings")
+        stats = postings.where("term is null").agg(F.sum("tf").alias("n_docs"), (F.sum(F.col("dl") * F.col("tf")) / F.sum("tf")).alias("avg_dl"))
+        postings = postings.where("term is not null")
         terms = postings.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(stats))
         terms = terms.withColumn("raw", F.ln(F.col("n_docs") - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
+        terms = materialise(terms.select("term", "raw", "avg_dl"), "terms")
         mean = terms.agg(F.avg("raw").alias("mean_raw"))
         idf = F.when(F.col("raw") < 0, F.col("mean_raw") * floor).otherwise(F.col("raw"))
-        terms = terms.crossJoin(F.broadcast(mean)).select("term", idf.alias("idf"), "avg_dl")
-        length = 1 - b + b * F.col("dl") / F.col("avg_dl")
-        weight = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * length)
-        return cls(postings.join(terms, "term").select("doc_id", "term", weight.alias("weight")))
+        terms = terms.crossJoin(F.broadcast(mean)).select("term", idf.alias("idf"), "avg_dl", F.lit(k1).alias("k1"), F.lit(b).alias("b"))
+        return cls(postings, terms)
+
+    @staticmethod
+    def _weight() -> Column:
+        length = 1 - F.col("b") + F.col("b") * F.col("dl") / F.col("avg_dl")
+        return F.col("idf") * F.col("tf") * (F.col("k1") + 1) / (F.col("tf") + F.col("k1") * length)
+
+    @property
+    def weights(self) -> DataFrame:
+        """(doc_id, term, weight) of the whole index."""
+        return self.postings.join(self.terms, "term").select("doc_id", "term", self._weight().alias("weight"))
 
     def search(self, queries: DataFrame, key: str, text: str, k: int) -> DataFrame:
-        """(query_id, doc_id, score, rank): the k best of score above 0; a word said twice counts twice."""
+        """(query_id, doc_id, score, rank): the k best of score above 0; a word said twice counts twice.
+
+        What the queries do not ask for is left out before anything is weighted.
+        """
         asked = queries.select(F.col(key).alias("query_id"), F.explode(tokens(F.col(text))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("times"))
-        scores = self.weights.join(asked, "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("weight") * F.col("times")).alias("score"))
+        asked = materialise(asked, "asked")
+        known = self.terms.join(asked.select("term").distinct(), "term", "left_semi")
+        wanted = self.postings.join(known, "term").select("doc_id", "term", self._weight().alias("weight"))
+        scores = wanted.join(asked, "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("weight") * F.col("times")).alias("score"))
         return top_k(scores.where("score > 0"), k)
 
 
@@ -87,7 +110,9 @@ def rerank(hits: DataFrame, k: int, scorer: Callable[[DataFrame], DataFrame] | N
     Queries with k hits or fewer keep their order and score.
     """
     n = F.count("*").over(Window.partitionBy("query_id"))
-    scored = scorer(hits) if scorer else hits.withColumn("rerank_score", 1.0 / F.col("position"))
+    scored = scorer(hits) if scorer else hits.withColumn("rerank_score", F.lit(None).cast("double"))
+    # what a scorer leaves without a score, as it does where it fails, has 1 / position
+    scored = scored.withColumn("rerank_score", F.coalesce("rerank_score", 1.0 / F.col("position")))
     scored = scored.withColumn("hits", n).withColumn("final_score", F.when(F.col("hits") > k, F.col("rerank_score")).otherwise(F.col("score")))
     best = F.when(F.col("hits") > k, F.col("rerank_score"))
     w = Window.partitionBy("query_id").orderBy(best.desc_nulls_last(), "position")
@@ -117,6 +142,29 @@ def merge(base: DataFrame, graph: DataFrame, k: int, boost: float = 1.2, prefix:
     return rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
+def unified(
+    queries: DataFrame, vectors: DataFrame, index: SparseIndex, passages: DataFrame, expanded: DataFrame | None = None, k: int = 5, threshold: float = 0.0,
+    reranker: Callable[[DataFrame], DataFrame] | None = None, needles: tuple[str | None, ...] = (),
+) -> DataFrame:
+    """(query_id, content, score, rank) for all of (query_id, text, query_vector) at once: hybrid hits, merged with the
+    graph's where ``expanded`` (query_id, content, score, position) has any for the query, then only what holds every
+    needle, say a crop and a region.
+
+    ``passages``: (doc_id, content). Queries without graph hits keep their hybrid hits as they are.
+    """
+    hits = retrieve(queries, vectors, index, k, threshold, reranker)
+    score = F.col("final_score") if reranker else F.col("score")
+    base = hits.withColumn("s", score).join(passages.select("doc_id", "content"), "doc_id").select("query_id", "content", F.col("s").alias("score"), "position")
+    if expanded is None:
+        out = base.withColumnRenamed("position", "rank")
+    else:
+        met = expanded.select("query_id").distinct()
+        merged = merge(base.join(met, "query_id", "left_semi"), expanded, k).select("query_id", "content", "score", "rank")
+        alone = base.join(met, "query_id", "left_anti").select("query_id", "content", "score", F.col("position").alias("rank"))
+        out = merged.unionByName(alone)
+    return holding(out, "content", *needles)
+
+
 def holding(hits: DataFrame, content: str = "content", *needles: str | None) -> DataFrame:
     """Hits whose content holds every given text, whatever the case."""
     for needle in needles:

@@ -607,11 +607,19 @@ def _actions() -> F.Column:
     return F.struct(F.array(*made).alias("priority_actions"), F.from_json(F.lit("[]"), schemas.ACTIONS).alias("optional_improvements"), F.array(F.lit("none")).alias("conflicts_resolved"))
 
 
-@query()
+@query(f"""WITH {STEPS_SQL}, aimed AS (SELECT *, conv_id % 4 + 1 AS t FROM steps),
+kept AS (SELECT conv_id, turn, t, type, coalesce(evidence, '') AS evidence, confidence,
+    CASE WHEN turn = t + 1 THEN 'rewritten' ELSE content END AS content,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place, count(*) OVER (PARTITION BY conv_id) AS n FROM aimed WHERE turn <> t),
+sizes AS (SELECT a.conv_id, any_value(a.t) AS t, count(k.turn) AS n FROM aimed a LEFT JOIN kept k ON a.conv_id = k.conv_id AND a.turn = k.turn GROUP BY a.conv_id),
+made AS (SELECT conv_id, 2 * place AS spot, type, content, CASE WHEN turn = t + 1 THEN 'seen' ELSE evidence END AS evidence, confidence FROM kept
+  UNION ALL SELECT conv_id, 2 * least(t - 1, n) + 1, 'comparison', 'added', '', 'low' FROM sizes)
+SELECT conv_id, count(*)::INTEGER AS n, md5(string_agg(type || '|' || content || '|' || evidence || '|' || confidence, chr(10) ORDER BY spot)) AS steps_md5 FROM made GROUP BY conv_id""")
 def apply_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _chains(spark, sf_dir).withColumn("unified", _actions())
     rows = rows.select("conv_id", chain_ops.apply_actions(F.col("steps"), F.col("unified")).alias("steps"))
-    return rows.select("conv_id", F.size("steps").alias("n"), F.md5(F.to_json("steps").cast("binary")).alias("steps_md5"))
+    line = lambda s: F.concat_ws("|", s["type"], s["content"], F.coalesce(s["evidence"], F.lit("")), s["confidence"])
+    return rows.select("conv_id", F.size("steps").alias("n"), F.md5(F.array_join(F.transform("steps", line), "\n").cast("binary")).alias("steps_md5"))
 
 
 @query("""SELECT conv_id, turn, CASE WHEN h > 0 AND h >= m AND h >= e THEN 'hard' WHEN m > 0 AND m >= e THEN 'medium' ELSE 'easy' END AS difficulty FROM (
@@ -648,11 +656,13 @@ def response_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- sampling, resume, reports
 
 
-@query("""WITH sizes AS (SELECT coalesce(lang, 'Unknown') AS lang, count(*) AS size FROM documents GROUP BY 1), k AS (SELECT greatest(1, 100 // count(*)) AS each FROM sizes)
-SELECT lang, least(size, each)::BIGINT AS n FROM sizes, k""")
+@query("""WITH drawn AS (SELECT doc_id, coalesce(lang, 'Unknown') AS lang, md5('42:' || doc_id) AS draw FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY draw, doc_id) AS nth FROM drawn),
+few AS (SELECT greatest(1, 100 // count(DISTINCT lang)) AS most FROM drawn)
+SELECT doc_id, lang FROM placed, few WHERE nth <= most ORDER BY nth, draw, doc_id LIMIT 100""")
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chain_ops.stratified_sample(table(spark, sf_dir, "documents").select("doc_id", "lang"), "lang", "doc_id", 100)
-    return rows.groupBy(F.coalesce("lang", F.lit("Unknown")).alias("lang")).agg(F.count("*").alias("n"))
+    return rows.select("doc_id", F.coalesce("lang", F.lit("Unknown")).alias("lang"))
 
 
 @query("SELECT doc_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
