@@ -9,7 +9,8 @@ Tiles hold neighbours: vectors are dealt to pivots, a bounded sample of them, an
 crowded pivot has many tiles. A tile knows its centre and the widest angle to it; two tiles whose angles leave no room
 for a pair within the threshold are never paired. Equal vectors are one row with a count.
 
-Tiles are files in the shared folder, read in place by the tasks that pair them; they are never shuffled.
+Tiles are files in the shared folder, read in place by the tasks that pair them; they are never shuffled. A tile's int8
+rows lie apart from its full ones, which are read only where a bound reaches the threshold.
 A pair of tiles returns a number for each vector with links and the edges of a spanning forest, never the pairs.
 """
 
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import Forest, arrow_store, connected_components, materialise, partitions, scratch
+from loomwork.llm.common import arrow_store, connected_components, delete, drop, materialise, partitions, scratch
 
 THRESHOLD = 0.9
 #: Vectors in a tile, at most.
@@ -56,15 +57,21 @@ def int8_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def close_pairs(a: np.ndarray, b: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (i, j) of unit vectors with product >= threshold; i < j if both are the same tile."""
-    qa, sa, na, ea = quantise(a)
-    qb, sb, nb, eb = (qa, sa, na, ea) if same else quantise(b)
+#: int8 rows, their scales, the norms of s * q and of what is left.
+Quantised = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def possible_pairs(a: Quantised, b: Quantised, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i, j) whose product may reach the threshold; i < j if both are the same tile."""
+    (qa, sa, na, ea), (qb, sb, nb, eb) = a, b
     bound = int8_products(qa, qb) * sa[:, None] * sb[None, :]
     bound += ea[:, None] * (nb + eb)[None, :] + na[:, None] * eb[None, :]
     i, j = np.nonzero(bound >= threshold - SLACK)
-    if same:
-        i, j = i[i < j], j[i < j]
+    return (i[i < j], j[i < j]) if same else (i, j)
+
+
+def verified(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs whose product in double precision reaches the threshold."""
     keep = []
     for at in range(0, len(i), 1 << 16):
         keep.append(np.einsum("ij,ij->i", a[i[at : at + (1 << 16)]], b[j[at : at + (1 << 16)]]) >= threshold)
@@ -72,6 +79,35 @@ def close_pairs(a: np.ndarray, b: np.ndarray, threshold: float, same: bool) -> t
     return i[good], j[good]
 
 
+def close_pairs(a: np.ndarray, b: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i, j) of unit vectors with product >= threshold; i < j if both are the same tile."""
+    i, j = possible_pairs(quantise(a), quantise(b), threshold, same)
+    return verified(a, b, i, j, threshold)
+
+
+def spanning_edges(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a forest that connects what the edges connect: each root takes the least root it meets, round by round."""
+    ids, places = np.unique(np.concatenate([u, v]), return_inverse=True)
+    u, v = places[: len(u)], places[len(u) :]
+    root, out = np.arange(len(ids)), []
+    while True:
+        high, low = np.maximum(root[u], root[v]), np.minimum(root[u], root[v])
+        apart = high != low
+        if not apart.any():
+            break
+        u, v, high, low = u[apart], v[apart], high[apart], low[apart]
+        order = np.lexsort((low, high))
+        first = order[np.r_[True, high[order][1:] != high[order][:-1]]]
+        parent = np.arange(len(ids))
+        parent[high[first]] = low[first]
+        out.append((high[first], low[first]))
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        root = parent[root]
+    pairs = np.concatenate([np.stack(x) for x in out], axis=1) if out else np.empty((2, 0), np.int64)
+    return ids[pairs[0]], ids[pairs[1]]
+
+
 def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(vec_id, dim, unit): double-precision unit vectors as bytes; null where a vector links with nothing."""
     for batch in batches:
@@ -94,7 +130,8 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dim)
 
 
-_TILE = pa.schema([("rows", pa.large_binary()), ("ids", pa.binary()), ("counts", pa.binary())])
+#: A tile is two batches of a file: what every pair needs, then the full rows.
+_TILE = pa.schema([(name, pa.large_binary()) for name in ("rows", "scales", "norms", "errors", "ids", "counts")])
 
 
 def _tiles(folder: str):
@@ -117,8 +154,9 @@ def _tiles(folder: str):
                 centre = mean / norm if norm > 1e-9 else x[0]
                 angle = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
                 ids, counts = (rows.column(c).to_numpy().astype(np.int64).tobytes() for c in ("id", "n"))
-                values = [pa.array([v], k) for v, k in zip((x.tobytes(), ids, counts), _TILE.types)]
-                writer.write_batch(pa.RecordBatch.from_arrays(values, schema=_TILE))
+                light = [v.tobytes() for v in quantise(x)] + [ids, counts]
+                for values in (light, [x.tobytes()] + [None] * 5):
+                    writer.write_batch(pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, _TILE.types)], schema=_TILE))
                 heads.append(((part << 40) | made, dim, centre.tobytes(), angle, f"{folder}/{name}", made))
                 made += 1
 
@@ -145,12 +183,25 @@ def _tiles(folder: str):
     return run
 
 
-def _load(file: str, row: int, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    store, path = arrow_store(file)
-    with store.open_input_file(path) as source, pa.ipc.open_file(source) as reader:
-        batch = reader.get_batch(row)
-    x, ids, counts = (batch.column(i)[0].as_buffer() for i in range(3))
-    return np.frombuffer(x, np.float64).reshape(-1, dim), np.frombuffer(ids, np.int64), np.frombuffer(counts, np.int64)
+class Tile:
+    """A tile in its file; the full rows are read when they are asked for."""
+
+    def __init__(self, file: str, row: int, dim: int) -> None:
+        self.file, self.row, self.dim = file, row, dim
+        rows, *numbers, ids, counts = self._read(2 * row)
+        self.quantised = (np.frombuffer(rows, np.int8).reshape(-1, dim), *(np.frombuffer(x, np.float64) for x in numbers))
+        self.ids, self.counts, self._rows = np.frombuffer(ids, np.int64), np.frombuffer(counts, np.int64), None
+
+    def _read(self, batch: int) -> list:
+        store, path = arrow_store(self.file)
+        with store.open_input_file(path) as source, pa.ipc.open_file(source) as reader:
+            found = reader.get_batch(batch)
+        return [c[0].as_buffer() for c in found.columns if c[0].is_valid]
+
+    def rows(self) -> np.ndarray:
+        if self._rows is None:
+            self._rows = np.frombuffer(self._read(2 * self.row + 1)[0], np.float64).reshape(-1, self.dim)
+        return self._rows
 
 
 def _tile_links(threshold: float):
@@ -159,36 +210,37 @@ def _tile_links(threshold: float):
     What a first tile finds in all its partners is put together before it is passed on.
     """
 
-    def finish(found: dict[int, int], forest: Forest) -> pa.RecordBatch:
-        u, v = forest.edges()
-        ids = np.fromiter(found, np.int64, len(found))
-        n = np.fromiter(found.values(), np.int64, len(found))
-        vs = pa.concat_arrays([pa.nulls(len(ids), pa.int64()), pa.array(v, pa.int64())])
-        return pa.RecordBatch.from_arrays([pa.array(np.r_[ids, u]), vs, pa.array(np.r_[n, np.zeros(len(u), np.int64)])], names=["u", "v", "n"])
+    def finish(ids: list[np.ndarray], links: list[np.ndarray], edges: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        some, place = np.unique(np.concatenate([np.empty(0, np.int64), *ids]), return_inverse=True)
+        n = np.bincount(place, np.concatenate([np.empty(0), *links]), len(some)).astype(np.int64)
+        u, v = (np.concatenate([np.empty(0, np.int64), *(e[side] for e in edges)]) for side in (0, 1))
+        u, v = spanning_edges(u, v)
+        vs = pa.concat_arrays([pa.nulls(len(some), pa.int64()), pa.array(v, pa.int64())])
+        return pa.RecordBatch.from_arrays([pa.array(np.r_[some, u]), vs, pa.array(np.r_[n, np.zeros(len(u), np.int64)])], names=["u", "v", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, a = None, None
-        found: dict[int, int] = {}
-        forest = Forest()
+        last, a, held = None, None, 0
+        ids, links, edges = [], [], []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["tile"] != last:
-                    last, a = row["tile"], _load(row["file"], row["row"], row["dim"])
+                    last, a = row["tile"], Tile(row["file"], row["row"], row["dim"])
                 same = row["tile"] == row["tile_b"]
-                b = a if same else _load(row["file_b"], row["row_b"], row["dim"])
-                i, j = close_pairs(a[0], b[0], threshold, same)
+                b = a if same else Tile(row["file_b"], row["row_b"], row["dim"])
+                i, j = possible_pairs(a.quantised, b.quantised, threshold, same)
+                i, j = verified(a.rows(), b.rows(), i, j, threshold) if len(i) else (i, j)
                 if not len(i):
                     continue
-                for (_, ids, _), more in ((a, np.bincount(i, b[2][j], len(a[0]))), (b, np.bincount(j, a[2][i], len(b[0])))):
-                    for k in np.flatnonzero(more).tolist():
-                        found[int(ids[k])] = found.get(int(ids[k]), 0) + int(more[k])
-                for x, y in zip(a[1][i].tolist(), b[1][j].tolist()):
-                    if forest.parent.get(x, -1) != forest.parent.get(y, -2):
-                        forest.join(x, y)
-                if len(found) > 200_000:
-                    yield finish(found, forest)
-                    found, forest = {}, Forest()
-        yield finish(found, forest)
+                for tile, more in ((a, np.bincount(i, b.counts[j], len(a.ids))), (b, np.bincount(j, a.counts[i], len(b.ids)))):
+                    met = np.flatnonzero(more)
+                    ids.append(tile.ids[met])
+                    links.append(more[met])
+                    held += len(met)
+                edges.append(spanning_edges(a.ids[i], b.ids[j]))
+                if held > 200_000:
+                    yield finish(ids, links, edges)
+                    ids, links, edges, held = [], [], [], 0
+        yield finish(ids, links, edges)
 
     return run
 
@@ -268,6 +320,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     n_pairs = both.count()
     both = both.repartitionByRange(max(1, min(4 * partitions(spark), n_pairs)), "tile", "tile_b").sortWithinPartitions("tile", "tile_b")
     found = materialise(both.mapInArrow(_tile_links(threshold), "u long, v long, n long"), "vec-links")
+    delete(spark, folder)
+    drop(near, tiles, both)
     links = found.where("v is null").groupBy(F.col("u").alias("link_id")).agg(F.sum("n").alias("links"))
     roots = connected_components(found.where("v is not null").select("u", "v"))
     rows = distinct.join(links, F.col("id") == F.col("link_id"), "left").drop("link_id")
