@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import materialise, running_sums
+from loomwork.llm.common import materialise, reserved, running_sums
 
 #: Words that a repeated run must have to be deleted.
 MIN_WORDS = 5
@@ -164,7 +164,12 @@ def digest(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """All rows and columns of ``docs``, texts without the deleted lines; n_chars follows the text where it changes."""
+    """All rows and columns of ``docs``, texts without the deleted lines; n_chars follows the text where it changes.
+
+    Nulls, empty texts, ties and repeated rows as in ``digest``. Names that begin with ``__lw_`` are refused, others may
+    be anything. An empty table gives an empty table.
+    """
+    reserved(docs)
     columns = docs.columns
     schema = docs.schema
     text_at, gone_at = columns.index("text"), len(columns)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import count_words, materialise, running_sums
+from loomwork.llm.common import count_words, materialise, reserved, running_sums
 
 #: Weights of the sources by code point of their names, null last; they repeat.
 WEIGHTS = (1, 2, 3)
@@ -116,8 +116,10 @@ def copies(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float =
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED) -> DataFrame:
     """The mix itself: rows of ``docs`` with all their columns, as often as they are taken.
 
-    Rows alike in doc_id, source and text size are alike to the sampling, and share their copies in any order.
+    Rows alike in doc_id, source and text size are alike to the sampling, and share their copies in any order. Names
+    that begin with ``__lw_`` are refused, others may be anything. Nulls, ties and empty tables as in ``copies``.
     """
+    reserved(docs)
     key = ["__lw_id", "__lw_source", "__lw_size", "__lw_same"]
     same = Window.partitionBy(*key[:3])
     sized = docs.withColumns(
