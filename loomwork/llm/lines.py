@@ -1,15 +1,16 @@
 """Line dedup by a suffix array over the line-ID sequences of all documents, built by distributed prefix doubling.
 
-The documents' lines form one sequence in the order of (doc_id, text). A line's ID is the first position of an equal
-line. Doubling takes ranks of runs of 2**k lines to ranks of runs of 2**(k + 1): the pair of ranks at a position and
-2**k further on names the longer run, and the first position with that pair is its new rank. Positions with the same
-rank after k rounds are an interval of the suffix array whose longest common prefix is 2**k lines at least; a position
-that is not its own rank starts a later copy. Only positions in intervals of two or more stay in the next round, so
-rounds shrink quickly. A run of any other length is named by two overlapping runs of a power of two.
+The documents' lines form one sequence in the order of (doc_id, text). A line's ID is its place in the order of all
+lines' hashes. Doubling takes ranks of runs of 2**k lines to ranks of runs of 2**(k + 1): the pair of ranks at a position
+and 2**k further on names the longer run, and its rank is how many positions have a smaller name. So ranks follow the
+order of suffixes as far as runs of that length tell them apart, and positions of one rank are an interval of the suffix
+array whose longest common prefix is 2**k lines at least. Each interval carries its first position: all others start a
+later copy. What is unique sorts apart for good, so only intervals of two or more stay in the next round, and rounds
+shrink quickly. The interval of a run of any other length is named by two overlapping runs of a power of two.
 
 Deleted are later copies of maximal repeated runs with MIN_WORDS words or more. A line lies in one exactly if it lies
-in a repeated run that is shortest with MIN_WORDS words from its first line on, or from its last line back; so doubling
-may stop at the longest of these.
+in a repeated run that is shortest with MIN_WORDS words from its first line on, or from its last line back; so the order
+is refined to the longest of these, and deeper order cannot change what is deleted.
 """
 
 from __future__ import annotations
@@ -73,19 +74,27 @@ def _batch(columns: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
+def intervals(rows: DataFrame, name: list[str], label: str) -> DataFrame:
+    """(name..., rank, first, n) of names that occur at two positions or more, from rows (pos, name...): an interval of
+    the suffix array each, with its rank in the order of names, its first position, and how many positions it holds."""
+    repeated = rows.groupBy(*name).agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.count("*").alias("n")).where("first < last")
+    ranked = running_sums(repeated.select(*name, "first", "n"), name, [], "n", f"{label}-order")
+    return materialise(ranked.withColumnRenamed("before", "rank"), f"{label}-intervals")
+
+
 def rank(rows: DataFrame, name: list[str], label: str) -> DataFrame:
-    """(pos, rank) of the rows (pos, name...) whose name occurs at two positions or more: rank is the first of them."""
-    repeated = rows.groupBy(*name).agg(F.min("pos").alias("rank"), F.max("pos").alias("last")).where("rank < last")
-    repeated = materialise(repeated.select(*[F.col(c).alias(f"r_{c}") for c in name], "rank"), f"{label}-names")
+    """(pos, rank, first) of the rows (pos, name...) whose name occurs at two positions or more."""
+    found = intervals(rows, name, label)
+    found = found.select(*[F.col(c).alias(f"r_{c}") for c in name], "rank", "first")
     on = [F.col(c) == F.col(f"r_{c}") for c in name]
-    return materialise(rows.join(repeated, on).select("pos", "rank").distinct(), label)
+    return materialise(rows.join(found, on).select("pos", "rank", "first").distinct(), label)
 
 
 def double(ranks: DataFrame, lines: int, label: str) -> DataFrame:
     """Ranks of runs of 2 * ``lines`` lines from those of ``lines`` lines."""
-    ahead = ranks.select((F.col("pos") - lines).alias("at"), F.col("rank").alias("second"))
-    pairs = ranks.join(ahead, F.col("pos") == F.col("at")).select("pos", F.col("rank").alias("first"), "second")
-    return rank(materialise(pairs, f"{label}-pairs"), ["first", "second"], label)
+    ahead = ranks.select((F.col("pos") - lines).alias("at"), F.col("rank").alias("right"))
+    pairs = ranks.join(ahead, F.col("pos") == F.col("at")).select("pos", F.col("rank").alias("left"), "right")
+    return rank(materialise(pairs, f"{label}-pairs"), ["left", "right"], label)
 
 
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -105,7 +114,7 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         "doc_id", "doc_key", (F.col("line") - F.col("back") + 1).alias("line"), (F.col("pos") - F.col("back") + 1).alias("pos"), F.col("back").alias("m")
     )
     # runs of one line need no name but their line's; longer ones only where their first line occurs twice
-    alone = starts.where("m = 1").join(ranks.where("rank < pos"), "pos").select("doc_id", "doc_key", "line", "m")
+    alone = starts.where("m = 1").join(ranks.where("first < pos"), "pos").select("doc_id", "doc_key", "line", "m")
     runs = starts.where("m > 1").union(ends.where("m > 1")).distinct().join(ranks.select("pos"), "pos")
     runs = materialise(runs, "line-runs")
     longest = runs.agg(F.max("m")).first()[0] or 1
@@ -114,13 +123,13 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         width *= 2
         ranks = double(ranks, width // 2, f"lines-{width}")
         own = runs.where(F.col("m").between(width, 2 * width - 1))
-        first = ranks.select(F.col("pos").alias("p1"), F.col("rank").alias("first"))
-        second = ranks.select(F.col("pos").alias("p2"), F.col("rank").alias("second"))
-        own = own.join(first, F.col("pos") == F.col("p1")).join(second, F.col("pos") + F.col("m") - width == F.col("p2"))
-        own = materialise(own.select("doc_id", "doc_key", "line", "pos", "m", "first", "second"), f"line-runs-{width}")
-        least = own.groupBy("m", "first", "second").agg(F.min("pos").alias("least"), F.max("pos").alias("last")).where("least < last")
-        least = materialise(least.select(F.col("m").alias("l_m"), F.col("first").alias("l_1"), F.col("second").alias("l_2"), "least"), f"line-copies-{width}")
-        same = (F.col("m") == F.col("l_m")) & (F.col("first") == F.col("l_1")) & (F.col("second") == F.col("l_2"))
+        left = ranks.select(F.col("pos").alias("p1"), F.col("rank").alias("left"))
+        right = ranks.select(F.col("pos").alias("p2"), F.col("rank").alias("right"))
+        own = own.join(left, F.col("pos") == F.col("p1")).join(right, F.col("pos") + F.col("m") - width == F.col("p2"))
+        own = materialise(own.select("doc_id", "doc_key", "line", "pos", "m", "left", "right"), f"line-runs-{width}")
+        least = own.groupBy("m", "left", "right").agg(F.min("pos").alias("least"), F.max("pos").alias("last")).where("least < last")
+        least = materialise(least.select(F.col("m").alias("l_m"), F.col("left").alias("l_1"), F.col("right").alias("l_2"), "least"), f"line-copies-{width}")
+        same = (F.col("m") == F.col("l_m")) & (F.col("left") == F.col("l_1")) & (F.col("right") == F.col("l_2"))
         copies = own.join(least, same).where("least < pos").select("doc_id", "doc_key", "line", "m")
         found = found.union(copies)
     gone = found.select("doc_id", "doc_key", F.explode(F.sequence("line", F.col("line") + F.col("m") - 1)).alias("line"))
