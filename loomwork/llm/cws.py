@@ -31,8 +31,9 @@ PART = 16
 BOUND = 40.0
 #: Least doc_id; what stands for null in the order.
 LEAST = -(1 << 63)
-#: Ranges: so many for each shuffle partition, so that their hashes fill partitions evenly.
-RANGES_EACH = 8
+#: Ranges, and tasks that hold their terms: so many for each shuffle partition. Terms take several times the room of
+#: their texts, and ranges outnumber tasks so that their hashes fill them evenly.
+RANGES_EACH, TASKS_EACH = 32, 4
 #: Characters of a text that, after the doc_id, tell ranges apart.
 TIE_CHARS = 32
 #: White space between words.
@@ -153,6 +154,7 @@ def neighbours(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     there = F.struct(F.pmod(F.col("own") + 1, F.lit(max(1, n))).alias("range"), F.lit(1).alias("guest"))
     edge = F.get("ends", "own") == F.col("key")
     rows = rows.select("doc_id", "text", F.col("key.k").alias("k"), F.inline(F.when(edge, F.array(here, there)).otherwise(F.array(here))))
+    rows = rows.repartition(TASKS_EACH * partitions(docs.sparkSession), "range")
     w = Window.partitionBy("range").orderBy(F.desc("guest"), "k", "text")
     rows = rows.withColumns({"nth": F.row_number().over(w), "next_text": F.lag("text", 1, "").over(w)})
     n_chars = F.char_length("text")
