@@ -13,6 +13,8 @@ from loomwork.operators.durable import materialise
 
 K1, B, FLOOR = 1.5, 0.75, 0.25
 RRF_K = 60
+#: Queries whose vectors are broadcast at once.
+QUERY_BLOCK = 4096
 
 
 @dataclass
@@ -79,12 +81,25 @@ def inner_product(a: Column, b: Column) -> Column:
 def dense_search(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, doc_id, score, rank): exact largest inner products of (query_id, query_vector) with all vectors.
 
-    A stated set of queries against all rows: a nested-loop join that streams the vectors past the queries; the k best
-    are cut per task before anything is shuffled.
+    A stated set of queries against all rows: a nested-loop join that streams the vectors past the queries, QUERY_BLOCK
+    of them, about, at a time, so that what is broadcast is bounded; the k best are cut per task before anything is
+    shuffled.
     """
     asked = queries.select("query_id", "query_vector")
-    pairs = vectors.select(F.col(key).alias("doc_id"), F.col(vector).alias("v")).crossJoin(asked)
-    return top_k(pairs.select("query_id", "doc_id", inner_product(F.col("v"), F.col("query_vector")).alias("score")), k)
+    n = asked.count()
+    blocks = max(1, -(-n // QUERY_BLOCK))
+
+    def one(block: DataFrame) -> DataFrame:
+        pairs = vectors.select(F.col(key).alias("doc_id"), F.col(vector).alias("v")).crossJoin(F.broadcast(block))
+        return top_k(pairs.select("query_id", "doc_id", inner_product(F.col("v"), F.col("query_vector")).alias("score")), k)
+
+    if blocks == 1:
+        return one(asked)
+    asked = materialise(asked, "asked-vectors")
+    out = one(asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == 0))
+    for i in range(1, blocks):
+        out = out.unionByName(one(asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == i)))
+    return out
 
 
 def fuse(dense: DataFrame, sparse: DataFrame, k: int = RRF_K) -> DataFrame:

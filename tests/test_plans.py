@@ -5,6 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from loomwork import jobs
 from loomwork.plans import enrichment, knowledge, models
 from loomwork.sources import readers, writers
 from loomwork.streaming.ingest import ingest
@@ -193,3 +194,39 @@ def test_ingest_once(spark, tmp_path):
     assert sorted((r.id, r.t) for r in spark.read.parquet(target).collect()) == [(1, "0"), (2, "0"), (3, "1")]
     writers.append_checkpoint(spark.createDataFrame([(9, "x")], "id int, t string"), target)
     assert spark.read.parquet(target).count() == 4
+
+
+def test_jobs(spark, tmp_path):
+    words = "lime raises the soil ph and " * 30
+    (tmp_path / "articles.json").write_text(json.dumps([{"title": t, "content": f"{t} {words}", "url": "u"} for t in ("Lime", "Soil")]))
+    said = '{"entities": [{"name": "Lime", "type": "chemical", "description": "d"}], "relations": []}'
+    log = str(tmp_path / "asked")
+
+    def chat(prompts):
+        with open(log, "a") as out:
+            out.writelines("asked\n" for _ in prompts)
+        return [said if "] Lime " in p else "" for p in prompts]
+
+    checkpoint = str(tmp_path / "extraction")
+    for _ in range(2):
+        tables = jobs.build_index(spark, str(tmp_path / "articles.json"), str(tmp_path / "index"), lambda ts: [[float(len(t)), 1.0] for t in ts], chat, checkpoint)
+    # the second run asks again for the article whose answer was empty, and for no other
+    assert len(open(log).readlines()) == 3 and tables["entities"].first().passage_ids == ["passage_0"]
+    (tmp_path / "qa.json").write_text(json.dumps([{"Question": f"an easy one {i}", "Answer": "a", "Reasoning Traces": "r"} for i in range(3)]))
+    scripted = enrichment.Models(classifier, thinker, reviewer, evaluator)
+    first = jobs.enrich(spark, str(tmp_path / "qa.json"), str(tmp_path / "out"), scripted, n=2)
+    assert first.count() == 2
+    assert jobs.enrich(spark, str(tmp_path / "qa.json"), str(tmp_path / "out"), scripted, n=2).count() == 2
+
+
+def test_passages_come_in_the_order_of_their_numbers(spark):
+    rows = spark.createDataFrame([(f"passage_{i}", f"text {i} " + "w " * 60, "A", "S") for i in range(8, 13)], "id string, text string, article_title string, section_title string")
+    said = '{"entities": [{"name": "x", "type": "crop"}, {"name": "x", "type": "soil"}], "relations": []}'
+
+    def chat(prompts):
+        assert all(p.index("text 8 ") < p.index("text 9 ") < p.index("text 10 ") < p.index("text 12 ") for p in prompts)
+        return [said] * len(prompts)
+
+    entities, _ = knowledge.extract_graph(rows, chat)
+    got = entities.orderBy("place").collect()
+    assert got[0].passage_ids == [f"passage_{i}" for i in range(8, 13)] and [r.place for r in got] == list(range(len(got)))
