@@ -42,7 +42,7 @@ CHUNK_WORDS = 1 << 20
 #: Hash bits beyond those that number all windows: one window in 2**SPARE_BITS meets another's hash by chance.
 SPARE_BITS = 28
 #: Runs of a level that are merged into one of the next.
-FANOUT = 3
+FANOUT = 2
 #: Batches of a whole table: enough for runs to be merged once before the last batch comes.
 BATCHES = FANOUT + 1
 #: Windows of a bucket, about, over the whole index.
