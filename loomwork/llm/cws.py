@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from loomwork.llm.common import materialise, partitions
 
-SAMPLES = 64
+SAMPLES = 48
 #: Positions that one row draws for: more in one aggregate are more code than the JVM compiles.
 PART = 16
 #: exp(-40) is 4e-18: the chance that a position of a text comes out empty.
