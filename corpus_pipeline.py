@@ -23,7 +23,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts alike to 0.8 (Jaccard, five words) stays, that with the smallest doc_id."""
+    """One document of each group of near copies stays, that with the smallest doc_id: by SimHash, confirmed by Jaccard (five
+    words, 0.8), and exactly by Jaccard where fingerprints are too far apart."""
     return near.keep_one(docs)
 
 

@@ -1,13 +1,18 @@
-"""Texts whose sets of word shingles are alike by Jaccard, found exactly: prefix filtering, then the sets themselves.
+"""Near-duplicates by SimHash, each confirmed by the Jaccard likeness of the sets of word shingles; an exact way for the rest.
+
+A text's fingerprint is the SimHash of its set of shingles. Texts whose fingerprints are equal or differ in two bits at
+most are found through deletion-variant signatures (``simhash.links``) and compared set by set; those that reach 0.8 are
+linked. Fingerprints of texts that are alike to 0.8 only may differ in more bits, so prefix filtering finds the rest, and
+no link is lost.
 
 Two texts of a and b shingles reach 0.8 only if the first ``a // 5 + 1`` and ``b // 5 + 1`` of their shingles have one
 in common, in whatever order all texts share. The order is rarest first, by counts in a table of fixed size, so what
 many texts quote comes last and is seldom looked at. Lengths and places rule out most of what shares a shingle; the
 rest is compared set by set.
 
-Groups of near copies are large and would be compared in all pairs. So each shingle's texts are first compared with
-one of them and with their neighbours by length; texts linked by that are a component, and only texts of different
-components are compared in full. What that finds does not depend on the first step, which only saves work.
+Groups of near copies are large and would be compared in all pairs. So what SimHash links is a component already, and each
+shingle's texts are first compared with one of them and with their neighbours by length; only texts of different components
+are then compared in full, so that the links, all in all, are exactly those of 0.8 or more.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomwork.llm import simhash
 from loomwork.llm.common import compact, connected_components, drop, materialise, reserved
 
 SHINGLE_WORDS = 5
@@ -237,12 +243,31 @@ def _alike(docs: DataFrame, first: DataFrame, pairs: DataFrame, words: int) -> D
 def _prints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sigs = [signature(shingles(t.as_py(), words)) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigs, pa.int64()), batch.column(2)], names=["doc_id", "sig", "key"])
+            sigs, fps = [], []
+            for t in batch.column(1):
+                found = shingles(t.as_py(), words)
+                sigs.append(signature(found))
+                fps.append(simhash.majority(found))
+            fps = pa.array(np.array(fps, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigs, pa.int64()), batch.column(2), fps], names=["doc_id", "sig", "key", "fp"])
 
     return run
 
 
+def simhash_pairs(first: DataFrame) -> DataFrame:
+    """(a, b) of ``first`` (sig, fp): pairs to compare that connect all sets whose fingerprints are equal or within ``simhash.MAX_BITS``.
+
+    One set stands for those of its fingerprint. The empty set has none.
+    """
+    some = first.where("sig <> 0").select("sig", "fp")
+    leaders = materialise(some.groupBy("fp").agg(F.min("sig").alias("leader")), "near-fingerprints")
+    one, other = (leaders.select(F.col("fp").alias(f"fp_{x}"), F.col("leader").alias(x)) for x in ("a", "b"))
+    same = some.join(one, F.col("fp") == F.col("fp_a")).where("sig <> a").select("a", F.col("sig").alias("b"))
+    links = simhash.links(leaders.select("fp"))
+    across = links.join(one, F.col("u") == F.col("fp_a")).join(other, F.col("v") == F.col("fp_b")).select("a", "b")
+    return same.union(across).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def components(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, component_id, key, group) for every row of ``docs`` (doc_id, text; other columns are not read).
 
@@ -251,9 +276,9 @@ def components(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     rows, an empty table an empty one.
     """
     spark = docs.sparkSession
-    prints = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).mapInArrow(_prints(words), "doc_id long, sig long, key long")
+    prints = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).mapInArrow(_prints(words), "doc_id long, sig long, key long, fp long")
     prints = materialise(prints, "near-prints")
-    first = materialise(prints.groupBy("sig").agg(F.min("doc_id").alias("first_id")), "near-distinct")
+    first = materialise(prints.groupBy("sig").agg(F.min("doc_id").alias("first_id"), F.min("fp").alias("fp")), "near-distinct")
     counts = spark.sparkContext.broadcast(counts_of(docs, words))
     index = docs.select("text").mapInArrow(_postings(words, counts), "key long, sig long, n int, pos int")
     index = index.repartition("key").sortWithinPartitions("key")
@@ -263,7 +288,8 @@ def components(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     pairs = shared.where("pick is not null or before is not null").groupBy("sig")
     pairs = pairs.agg(F.count("*").alias("keys"), F.first("n").alias("n"), F.min("pick").alias("pick"), F.mode("before").alias("before"))
     pairs = pairs.where("20 * keys >= n").select("sig", F.explode(F.array("pick", "before")).alias("other")).where("other is not null")
-    links = _alike(docs, first, pairs.select(F.least("sig", "other").alias("a"), F.greatest("sig", "other").alias("b")), words)
+    pairs = pairs.select(F.least("sig", "other").alias("a"), F.greatest("sig", "other").alias("b"))
+    links = _alike(docs, first, simhash_pairs(first).union(pairs), words)
     roots = materialise(connected_components(links), "near-components")
     known = shared.select("key", "sig", "n", "pos").join(roots, F.col("sig") == F.col("id"), "left")
     known = known.select("key", "sig", "n", "pos", F.coalesce("root", "sig").alias("comp"))

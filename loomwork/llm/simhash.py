@@ -29,6 +29,15 @@ MAX_GROUP = 4096
 CHUNK = 1 << 16
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The SimHash of shingle hashes: each bit that over half of them have; 0 of none."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), CHUNK):
+        bits = np.unpackbits(hashes[at : at + CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts += bits.sum(0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
 def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     """64-bit SimHash of the word shingles of a text with A-Z lower-cased; 0 without words."""
     if not text:

@@ -54,3 +54,50 @@ def test_near_dedup_of_nothing_and_of_rows_without_id(spark):
     rows = [(None, text, "en", "s", 0), (7, text, "en", "s", 0), (7, text, "en", "s", 0), (8, text + " i", "en", "s", 0), (None, "x", "en", "s", 0)]
     got = near.keep_one(spark.createDataFrame(rows, DOCS)).collect()
     assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, text), (0, "x"), (7, text)]
+
+
+def nothing(names):
+    import pyarrow as pa
+
+    def run(batches):
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([], pa.int32() if n in ("n", "pos") else pa.int64()) for n in names], names=names)
+
+    return run
+
+
+def test_simhash_alone_links_what_its_fingerprints_show(spark, monkeypatch):
+    """Without the prefix filter: near fingerprints are linked if their sets are alike, and only then."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices("abcdefg", k=rng.randint(2, 6))) for _ in range(500)]
+    texts = []
+    for _ in range(12):
+        base = rng.choices(vocabulary, k=3000)
+        texts += [" ".join(base), " ".join([*base, "end"]), " ".join(["start", *base]), " ".join(base[: rng.randint(5, 40)])]
+    texts += ["", None, texts[0].upper()]
+    monkeypatch.setattr(near, "_shared", nothing(["key", "sig", "n", "pos", "pick", "before"]))
+    monkeypatch.setattr(near, "_across", nothing(["a", "b", "na", "nb", "shared"]))
+    sets = [simple_set(t) for t in texts]
+    prints = [near.simhash.majority(near.shingles(t)) for t in texts]
+    root = components(list(range(len(texts))), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 2 and alike(sets[i], sets[j]))
+    want = {i: min(j for j, x in enumerate(root) if x == root[i]) for i in range(len(texts))}
+    assert len(set(want.values())) < len(texts) - 15
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.component_id for r in near.components(docs).collect()} == want
+
+
+def test_near_fingerprints_of_unlike_texts_are_no_link(spark, monkeypatch):
+    texts = ["a b c d e f", "g h i j k l", "a b c d e f", "x"]
+    monkeypatch.setattr(near, "_prints", lambda words: forged)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near.components(docs).collect()} == {0: 0, 1: 1, 2: 0, 3: 3}
+
+
+def forged(batches):
+    """Every text under the same fingerprint."""
+    import pyarrow as pa
+
+    for batch in batches:
+        sigs = [near.signature(near.shingles(t.as_py())) for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigs, pa.int64()), batch.column(2), pa.array([5] * batch.num_rows, pa.int64())], names=["doc_id", "sig", "key", "fp"])
