@@ -21,10 +21,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.common import materialise
+from loomwork.llm.common import give_back, materialise
 
 #: Labelled documents that are read for fitting, at most; chosen by a hash of their ids.
 SAMPLE = 20_000
@@ -118,7 +119,9 @@ class Index:
         vector = self.vector(text)
         if not vector:
             return self.empty_share, []
-        if vector not in self.known:
+        # by digest: the vectors themselves would take most of a worker's memory
+        key = xxhash.xxh3_128_digest(np.array(vector, np.int64).tobytes())
+        if key not in self.known:
             if len(self.known) > 20_000:
                 self.known.clear()
             entry, cosine = self.nearest(vector)
@@ -127,8 +130,8 @@ class Index:
             score = (toxic + PRIOR_WEIGHT * self.prior) / (n + PRIOR_WEIGHT)
             shares = self.toxic[entry] / self.counts[entry]
             evidence = list(zip(self.example[entry][:3].tolist(), cosine[:3].tolist(), shares[:3].tolist()))
-            self.known[vector] = float(min(max(score, 0.0), 1.0)), evidence
-        return self.known[vector]
+            self.known[key] = float(min(max(score, 0.0), 1.0)), evidence
+        return self.known[key]
 
 
 def held_out(doc_id) -> F.Column:
@@ -238,6 +241,7 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
             evidence = pa.array([[dict(zip(("example_id", "cosine", "toxic_share"), e)) for e in ev] for _, ev in found], kind)
             columns = [batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)), evidence]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "score", "predicted", "evidence"])
+        give_back()
 
     schema = "doc_id long, held_out boolean, score double, predicted int, evidence array<struct<example_id: long, cosine: double, toxic_share: double>>"
     return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(run, schema)
@@ -256,5 +260,6 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Da
         own = index.value
         for batch in batches:
             yield batch.filter(pa.array([own.score(t.as_py())[0] < 0.5 for t in batch.column(place)], pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
