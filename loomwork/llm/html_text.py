@@ -1,7 +1,8 @@
 """Main text of web pages by wrappers: union-free regular expressions inferred from pages of the same host.
 
-Up to SAMPLE pages of a host are aligned one after another. Where two pages differ in text, the wrapper gets a text slot;
-where an element is missing in one, an optional group; where alike elements follow each other, a repeated group. The
+All pages of a host are aligned: those of one shape, that is alike but for their texts, place by place, and shapes one
+after another. Where two pages differ in text, the wrapper gets a text slot; where an element is missing in one, an
+optional group; where alike elements follow each other, a repeated group. The
 wrapper tells where the article lies: the main article element or, without one, the innermost element that holds all of
 the varying text. What nearly all pages of a host, counted over every page, have word for word at the same place is
 template. Every page is then read in one pass: blocks within the article, without menus, headers, footers, sidebars,
@@ -13,7 +14,9 @@ alone.
 from __future__ import annotations
 
 import bisect
+import functools
 import html
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -26,16 +29,18 @@ from pyspark.sql import functions as F
 
 from loomwork.llm.common import materialise
 
-#: Pages of a host that are aligned, at most, and pages that must share a text for it to be template.
-SAMPLE, MIN_SHARED = 12, 4
+#: Pages that must share a text for it to be template.
+MIN_SHARED = 4
 #: Share of the host's pages that must have it.
 SHARED = 0.8
 #: Names that a path spells out; what is nested deeper is named by a digest of its path.
 SPELT = 200
 #: Children of two elements that are aligned by a table, as their product; more are cut at children that both have once.
 TABLE = 10_000
-#: Hashes of sample pages that are broadcast, at most (8 bytes each); more are joined by a shuffle.
-BROADCAST = 1_000_000
+#: Parts of a host's shapes that are aligned apart.
+PARTS = 16
+#: Shapes that a task remembers; more are passed on more than once.
+REMEMBERED = 10_000
 
 RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "title")
 EXCLUDED = frozenset(("head", "nav", "header", "footer", "aside", "form", "button", "select", "dialog", "menu", *RAW))
@@ -243,8 +248,12 @@ class Node:
 
 def page_tree(page: str) -> Node:
     """A page's elements and texts; runs of alike neighbours are one repeated group already."""
+    return _tree(blocks(page))
+
+
+def _tree(found: list[Block]) -> Node:
     root = Node("")
-    for b in blocks(page):
+    for b in found:
         node, names = root, b.path.split("/")[1:]
         for i, name in enumerate(names):
             last = node.children[-1] if node.children else None
@@ -411,9 +420,12 @@ def article_path(wrapper: Node) -> str:
     least = max(2, SHARED * wrapper.pages)
     _articles(wrapper, "", found, least)
     if found:
-        mass = max(m for m, _ in found)
+        masses: dict[str, int] = {}  # elements that were not aligned may have one path
+        for m, p in found:
+            masses[p] = masses.get(p, 0) + m
+        mass = max(masses.values())
         # the outermost of those that hold the most
-        return min((len(p), p) for m, p in found if m == mass)[1]
+        return min((len(p), p) for p, m in masses.items() if m == mass)[1]
     node, path = wrapper, ""
     while True:
         inner = [(_articles(c, "", [], least), c) for c in node.children if c.name != "#" and not c.excluded]
@@ -463,23 +475,76 @@ def host(url) -> F.Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, template): numbers of the texts that nearly all of a host's distinct pages have, counted over all of them.
+def _kept_tree(root: Node) -> str:
+    """A wrapper as a row: its nodes in page order with their depths."""
+    out, stack = [], [(0, root)]
+    while stack:
+        depth, c = stack.pop()
+        out.append((depth, c.name, c.excluded + 2 * c.optional + 4 * c.repeated, c.pages, c.mass, c.text))
+        stack += [(depth + 1, x) for x in reversed(c.children)]
+    return json.dumps(out)
+
+
+def _read_tree(row: str) -> Node:
+    above: list[Node] = []
+    for depth, name, marks, pages, mass, text in json.loads(row):
+        node = Node(name, bool(marks & 1), text=text, optional=bool(marks & 2), repeated=bool(marks & 4), pages=pages, mass=mass)
+        del above[depth:]
+        if above:
+            above[-1].children.append(node)
+        above.append(node)
+    return above[0]
+
+
+def _leaves(root: Node) -> tuple[int, list[Node]]:
+    """What a page's tree is but for its texts, as a number, and its texts in order."""
+    h, stack, out = xxhash.xxh64(), [root], []
+    while stack:
+        c = stack.pop()
+        h.update(f"{c.name}\0{len(c.children)},{c.excluded:d}{c.optional:d}{c.repeated:d}\0".encode("utf-8", "surrogatepass"))
+        if c.name == "#":
+            out.append(c)
+        stack += reversed(c.children)
+    return h.intdigest() - (1 << 63), out
+
 
-    Only hashes are shuffled, each once for a task, and counted before the shuffle.
+def shapes(pages: DataFrame) -> DataFrame:
+    """(host, hash, shape, texts, sizes, places, tree) of every distinct page of each host, in one pass over the pages.
+
+    ``shape`` names the tree without its texts, ``texts`` holds their hashes (null: a slot within the page), ``sizes`` their
+    lengths, ``places`` what template texts are counted by. ``tree`` is the tree with its texts, on one page of a shape,
+    host and task at least. Only these are shuffled, no html.
     """
+    kinds = {"host": pa.string(), "hash": pa.int64(), "shape": pa.int64(), "texts": pa.list_(pa.int64()), "sizes": pa.list_(pa.int64()), "places": pa.list_(pa.int64()), "tree": pa.string()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[str, int]] = set()
         for batch in batches:
-            hosts, hashes, places = [], [], []
+            rows = []
             for name, key, page in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                own = {place(b) for b in blocks(page) if not b.excluded}
-                hosts += [name] * (len(own) + 1)
-                hashes += [key] * (len(own) + 1)
-                places += [None, *own]
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(places, pa.int64())], names=["host", "hash", "place"])
+                found = blocks(page)
+                root = _tree(found)
+                shape, leaves = _leaves(root)
+                new = (name, shape) not in seen
+                if new and len(seen) < REMEMBERED:
+                    seen.add((name, shape))
+                texts = [None if c.text is None else xxhash.xxh64_intdigest(c.text) - (1 << 63) for c in leaves]
+                rows.append((name, key, shape, texts, [c.mass for c in leaves], list({place(b) for b in found if not b.excluded}), _kept_tree(root) if new else None))
+            columns = zip(*rows) if rows else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], names=list(kinds))
+
+    schema = "host string, hash long, shape long, texts array<long>, sizes array<long>, places array<long>, tree string"
+    rows = pages.select(host(F.col("url")).alias("host"), F.xxhash64("html").alias("hash"), "html").where("html is not null and html <> ''").mapInArrow(run, schema)
+    same = [F.first(c).alias(c) for c in ("shape", "texts", "sizes", "places")]
+    return materialise(rows.groupBy("host", "hash").agg(*same, F.max("tree").alias("tree")), "page-shapes")
+
+
+def templates(found: DataFrame) -> DataFrame:
+    """(host, template): numbers of the texts that nearly all of a host's distinct pages have, counted over all of them.
 
-    rows = pages.mapInArrow(run, "host string, hash long, place long").distinct()
+    ``found`` has the pages' ``shapes``. Only numbers are shuffled, counted before the shuffle.
+    """
+    rows = found.select("host", F.explode(F.concat(F.array(F.lit(None).cast("long")), "places")).alias("place"))
     counts = materialise(rows.groupBy("host", "place").agg(F.count("*").alias("n")).where(F.col("place").isNull() | (F.col("n") >= MIN_SHARED)), "template-counts")
     totals = counts.where("place is null").select(F.col("host").alias("t_host"), F.col("n").alias("pages"))
     shared = counts.where("place is not null").join(totals, F.col("host") == F.col("t_host")).where(F.col("n") >= SHARED * F.col("pages"))
@@ -487,30 +552,83 @@ def templates(pages: DataFrame) -> DataFrame:
     return shared.groupBy("host").agg(F.sort_array(F.collect_list("place")).alias("template"))
 
 
+class Shape:
+    """All pages of one tree: how many, which texts they share (None: a slot), how long their texts are, one page's tree."""
+
+    def __init__(self, texts: list, sizes: list) -> None:
+        self.pages, self.texts, self.sizes, self.tree = 0, list(texts), [0] * len(sizes), None
+
+    def add(self, pages: int, texts: list, sizes: list, tree: str | None) -> None:
+        self.pages += pages
+        self.texts = [x if x == y else None for x, y in zip(self.texts, texts)]
+        self.sizes = [x + y for x, y in zip(self.sizes, sizes)]
+        if tree and (self.tree is None or tree < self.tree):
+            self.tree = tree
+
+    def wrapper(self) -> Node:
+        root = _read_tree(self.tree)
+        for c, text, size in zip(_leaves(root)[1], self.texts, self.sizes):
+            c.text, c.mass = None if text is None else c.text, size
+        stack = [root]
+        while stack:
+            c = stack.pop()
+            c.pages = self.pages
+            stack += c.children
+        return root
+
+
+def _by_shape(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's pages of one host and shape as one row."""
+    known: dict[tuple[str, int], Shape] = {}
+
+    def out() -> pa.RecordBatch:
+        rows = [(h, s, x.pages, x.texts, x.sizes, x.tree) for (h, s), x in known.items()]
+        known.clear()
+        kinds = {"host": pa.string(), "shape": pa.int64(), "pages": pa.int64(), "texts": pa.list_(pa.int64()), "sizes": pa.list_(pa.int64()), "tree": pa.string()}
+        columns = zip(*rows) if rows else [()] * len(kinds)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], names=list(kinds))
+
+    for batch in batches:
+        for name, shape, texts, sizes, tree in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            if (name, shape) not in known:
+                if len(known) >= REMEMBERED:
+                    yield out()
+                known[name, shape] = Shape(texts, sizes)
+            known[name, shape].add(1, texts, sizes, tree)
+    yield out()
+
+
+def _merged(trees: list[Node]) -> Node:
+    """The wrapper of all, small ones first; their order is that of what they hold, so it is the same in every run."""
+    return functools.reduce(_merge, trees)
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, path, template, wrapper): wrappers from up to SAMPLE distinct pages of each host, chosen by hash."""
-    rows = pages.select(host(F.col("url")).alias("host"), F.xxhash64("html").alias("hash"), "html").where("html is not null and html <> ''")
-    # a host's pages fall into SAMPLE classes by hash, and each class's least hash is taken: counted before any shuffle,
-    # and copies of a page are one page
-    chosen = rows.groupBy(F.col("host").alias("c_host"), F.pmod("hash", F.lit(SAMPLE))).agg(F.min("hash").alias("c_hash"))
-    chosen = materialise(chosen.select("c_host", "c_hash"), "wrapper-pages")
-    if chosen.limit(BROADCAST + 1).count() <= BROADCAST:
-        few = F.broadcast(chosen.select(F.col("c_hash").alias("few")).distinct())
-        sample = rows.join(few, F.col("hash") == F.col("few"), "left_semi")
-    else:
-        sample = rows
-    sample = sample.join(chosen, (F.col("host") == F.col("c_host")) & (F.col("hash") == F.col("c_hash"))).select("host", "hash", "html")
-    sample = sample.groupBy("host", "hash").agg(F.min("html").alias("html"))
-
-    def run(key, pdf):
-        import pandas as pd
-
-        wrapper = infer(sorted(set(pdf["html"]), key=lambda t: (len(t), t)))
-        return pd.DataFrame({"host": [key[0]], "path": [article_path(wrapper)], "wrapper": [wrapper.show()]})
-
-    found = sample.groupBy("host").applyInPandas(run, "host string, path string, wrapper string")
-    own = templates(rows).withColumnRenamed("host", "of_host")
-    return found.join(own, F.col("host") == F.col("of_host"), "left").select("host", "path", "template", "wrapper")
+    """(host, path, template, wrapper): wrappers inferred from all distinct pages of each host.
+
+    Pages of one shape are aligned place by place, summed up in the tasks that read them; shapes are aligned by ``_merge``,
+    PARTS parts of a host's shapes apart and then the parts, so that a host of any size is spread over tasks.
+    """
+    found = shapes(pages)
+    rows = found.select("host", "shape", "texts", "sizes", "tree").mapInArrow(_by_shape, "host string, shape long, pages long, texts array<long>, sizes array<long>, tree string")
+
+    def part(key, table):
+        known: dict[int, Shape] = {}
+        for shape, n, texts, sizes, tree in zip(*(table.column(c).to_pylist() for c in ("shape", "pages", "texts", "sizes", "tree"))):
+            known.setdefault(shape, Shape(texts, sizes)).add(n, texts, sizes, tree)
+        order = sorted(known.items(), key=lambda x: (len(x[1].sizes), x[0]))
+        tree = _kept_tree(_merged([x.wrapper() for _, x in order]))
+        return pa.table({"host": [key[0].as_py()], "part": [key[1].as_py()], "tree": [tree]})
+
+    def whole(key, table):
+        trees = sorted(zip(table.column("part").to_pylist(), table.column("tree").to_pylist()))
+        wrapper = _merged([_read_tree(t) for _, t in trees])
+        return pa.table({"host": [key[0].as_py()], "path": [article_path(wrapper)], "wrapper": [wrapper.show()]})
+
+    parts = rows.groupBy("host", F.pmod("shape", F.lit(PARTS)).alias("part")).applyInArrow(part, "host string, part long, tree string")
+    paths = parts.groupBy("host").applyInArrow(whole, "host string, path string, wrapper string")
+    own = templates(found).withColumnRenamed("host", "of_host")
+    return paths.join(own, F.col("host") == F.col("of_host"), "left").select("host", "path", "template", "wrapper")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
