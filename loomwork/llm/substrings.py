@@ -47,8 +47,10 @@ FANOUT = 2
 BATCHES = FANOUT + 1
 #: Windows of a bucket, about, over the whole index.
 BUCKET_WINDOWS = 1 << 21
-#: Requests that a task answers from one chunk, about.
+#: Requests that are worth reading a chunk once more in another task, at least.
 REQUESTS = 512
+#: First windows of requests whose places in a chunk a task remembers.
+FOUND = 1 << 14
 #: Stands for a null doc_id in comparisons: after all others, like the largest one. Chunks know which ids are null.
 NO_ID = (1 << 63) - 1
 #: Bits of the filter that limits the exact pass to the hashes in question.
@@ -153,6 +155,11 @@ class Chunk:
         return b" ".join([words[i] for i in self.ids[a:b].tolist()])
 
 
+def _list(words: pa.Array) -> list[bytes]:
+    """Like to_pylist of a binary array, several times faster."""
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
 def _make_chunk(doc_ids: list[np.ndarray], null: list[np.ndarray], texts: list[pa.Array]) -> Chunk:
     ids, missing = np.concatenate(doc_ids), np.concatenate(null)
     order = np.lexsort((missing, ids))
@@ -165,7 +172,7 @@ def _make_chunk(doc_ids: list[np.ndarray], null: list[np.ndarray], texts: list[p
         kept = np.r_[0, np.cumsum(full.to_numpy(zero_copy_only=False))]
         flat, offsets = flat.filter(full), kept[offsets]
     coded = flat.dictionary_encode()
-    distinct = [w.encode() for w in coded.dictionary.to_pylist()]
+    distinct = _list(coded.dictionary.cast(pa.large_binary()))
     return Chunk(ids[order], offsets[1:].astype(np.int64), coded.indices.to_numpy().astype(np.int32), distinct, int(len(ids) - missing.sum()))
 
 
@@ -174,7 +181,7 @@ def load(file: str, row: int) -> Chunk:
     with store.open_input_file(path) as source, pa.ipc.open_file(source) as reader:
         batch = reader.get_batch(row)
     doc_ids, ends, ids = (batch.column(i)[0].values.to_numpy() for i in range(3))
-    return Chunk(doc_ids, ends, ids, batch.column(3)[0].values.to_pylist(), batch.column(4)[0].as_py())
+    return Chunk(doc_ids, ends, ids, _list(batch.column(3)[0].values), batch.column(4)[0].as_py())
 
 
 def store_chunks(docs: DataFrame, bounds: list[int], folder: str, first: int = 0) -> DataFrame:
@@ -514,7 +521,7 @@ def _verify(bits: int):
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, chunk, known = None, None, None
+        place, chunk = None, None
         for batch in batches:
             bad = []
             for row in batch.to_pylist():
@@ -522,15 +529,22 @@ def _verify(bits: int):
                     place, chunk = row, None
                     continue
                 if chunk is None:
-                    chunk = load(place["file"], place["row"])
+                    chunk, found = load(place["file"], place["row"]), {}
                     h, doc, first = chunk.hashes(bits)
                     order = np.argsort(h)
-                    known = h[order], doc[order], first[order]
-                key = np.int64(row["first_hash"]).view(np.uint64)
-                a, b = np.searchsorted(known[0], key, side="left"), np.searchsorted(known[0], key, side="right")
+                    known = h[order]
+                key = row["first_hash"], row["source_doc"]
+                if key not in found:
+                    # where the source's documents hold the window, and where these end; many requests begin with one window
+                    if len(found) >= FOUND:
+                        found.clear()
+                    own = np.int64(key[0]).view(np.uint64)
+                    some = order[np.searchsorted(known, own, side="left") : np.searchsorted(known, own, side="right")]
+                    some = np.sort(some[chunk.doc_ids[doc[some]] == key[1]])
+                    found[key] = list(zip(first[some].tolist(), chunk.ends[doc[some]].tolist()))
                 size = row["n"] + WINDOW - 1
-                for d, at in zip(known[1][a:b].tolist(), known[2][a:b].tolist()):
-                    if chunk.doc_ids[d] == row["source_doc"] and at + size <= chunk.ends[d] and _digest(chunk.text(at, at + size)) == row["digest"]:
+                for at, end in found[key]:
+                    if at + size <= end and _digest(chunk.text(at, at + size)) == row["digest"]:
                         break
                 else:
                     bad.append(tuple(row[c] for c in names))
@@ -543,27 +557,48 @@ _SPAN = "chunk long, doc long, start long, n long, source_chunk long, source_doc
 _SPAN_NAMES = [x.split()[0] for x in _SPAN.split(", ")]
 
 
-def _singles(bits: int):
-    """Rows of a chunk, its place (kind 0) and spans (kind 1), to the spans' windows as spans of their own."""
+def _singles(bits: int, once: bool):
+    """Rows of a chunk, its place (kind 0) and spans (kind 1), to the spans' windows as spans of their own; with ``once``
+    only one window of those in a chunk that have the same words and ask the same source."""
     kinds = [*[pa.int64()] * 7, pa.binary()]
 
+    def finish(place: dict, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        chunk = load(place["file"], place["row"])
+        h, doc, first = chunk.hashes(bits)
+        starts, lengths, source_chunk, source_doc = (np.array(x, np.int64) for x in zip(*rows))
+        run = np.repeat(np.arange(len(rows)), lengths)
+        at = np.searchsorted(first, starts)[run] + np.arange(len(run)) - (np.cumsum(lengths) - lengths)[run]
+        source_chunk, source_doc = source_chunk[run], source_doc[run]
+        if once:
+            order = np.lexsort((at, source_doc, source_chunk, h[at]))
+            keys = [x[order] for x in (h[at], source_chunk, source_doc)]
+            new = np.r_[True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys])]
+            begin = first[at[order]]
+            as_first = begin[new][np.cumsum(new) - 1]
+            # windows may share a hash and not their words
+            for i in range(WINDOW):
+                new |= chunk.ids[begin + i] != chunk.ids[as_first + i]
+            kept = np.sort(order[new])
+            at, source_chunk, source_doc = at[kept], source_chunk[kept], source_doc[kept]
+        for a in range(0, len(at), 50_000):
+            out = []
+            for i, c, d in zip(at[a : a + 50_000].tolist(), source_chunk[a : a + 50_000].tolist(), source_doc[a : a + 50_000].tolist()):
+                begin = int(first[i])
+                out.append((place["chunk"], int(doc[i]), begin, 1, c, d, int(h[i].view(np.int64)), _digest(chunk.text(begin, begin + WINDOW))))
+            yield _rows(out, _SPAN_NAMES, kinds)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, chunk = None, None
+        place, rows = None, []
         for batch in batches:
             for row in batch.to_pylist():
                 if row["kind"] == 0:
-                    place, chunk = row, None
-                    continue
-                if chunk is None:
-                    chunk = load(place["file"], place["row"])
-                    h, _, first = chunk.hashes(bits)
-                at = np.searchsorted(first, row["start"]) + np.arange(row["n"])
-                for some in np.array_split(at, max(1, len(at) // 50_000)):
-                    out = []
-                    for i in some.tolist():
-                        a = int(first[i])
-                        out.append((row["chunk"], row["doc"], a, 1, row["source_chunk"], row["source_doc"], int(h[i].view(np.int64)), _digest(chunk.text(a, a + WINDOW))))
-                    yield _rows(out, _SPAN_NAMES, kinds)
+                    if rows:
+                        yield from finish(place, rows)
+                    place, rows = row, []
+                else:
+                    rows.append((row["start"], row["n"], row["source_chunk"], row["source_doc"]))
+        if rows:
+            yield from finish(place, rows)
 
     return run
 
@@ -661,10 +696,12 @@ def _exactly(places: DataFrame, bits: int, spans: DataFrame, bad: DataFrame, tex
 def _differing(places: DataFrame, spans: DataFrame, bits: int, n: int) -> DataFrame:
     """What spans ask of their sources and the sources deny; equal requests are asked once.
 
-    A chunk that holds what very many chunks copy is read by one task for each REQUESTS of its requests.
+    A chunk is read once, but for one that holds what very many chunks copy: each task answers a task's even part of all
+    requests or, where that is less, REQUESTS.
     """
     asked = materialise(spans.select("source_chunk", "source_doc", "first_hash", "n", "digest").distinct(), "substring-requests")
-    shares = asked.groupBy("source_chunk").agg(F.ceil(F.count("*") / REQUESTS).alias("shares"))
+    share_of = max(REQUESTS, -(-asked.count() // n))
+    shares = asked.groupBy("source_chunk").agg(F.ceil(F.count("*") / share_of).alias("shares"))
     shares = materialise(shares, "substring-shares")
     share = F.pmod(F.xxhash64("source_doc", "first_hash", "n", "digest"), F.col("shares")).alias("share")
     rows = asked.join(shares, "source_chunk").select(*asked.columns, share, F.lit(1).alias("kind"))
@@ -691,9 +728,10 @@ def _removed(index: Index, own: DataFrame, answers: DataFrame, text: bool) -> Da
         # a span may run on where its source does not: its windows are verified one by one
         key = bad.columns
         apart = spans.join(bad, key, "left_semi").withColumn("kind", F.lit(1))
-        apart = materialise(_by_chunk(own, apart, "chunk", n).mapInArrow(_singles(bits), _SPAN), "substring-singles")
-        spans = spans.join(bad, key, "left_anti").unionByName(apart)
-        bad = _differing(places, apart, bits, n)
+        whole, apart = spans.join(bad, key, "left_anti"), _by_chunk(own, apart, "chunk", n)
+        bad = _differing(places, apart.mapInArrow(_singles(bits, True), _SPAN), bits, n)
+        if not bad.isEmpty():
+            spans = whole.unionByName(materialise(apart.mapInArrow(_singles(bits, False), _SPAN), "substring-singles"))
     if not bad.isEmpty():
         again = materialise(_exactly(places, bits, spans, bad, text, n), "substring-exact")
         done = done.join(again.select("chunk", "doc"), ["chunk", "doc"], "left_anti").unionByName(again)
