@@ -5,7 +5,9 @@ doc_ids: ``ids-*.arrow``, whose record batches hold ``ids`` (fixed-size lists; 1
 ``mask`` (fixed-size lists of booleans, false where the last sequence is padded), and ``docs-*.arrow`` with doc_id,
 start and n_tokens of the range's documents. Both are Arrow stream messages closed by the file footer, uncompressed, so
 sequence i is read in place: batch i // ROWS, row i % ROWS, no copy. Files are written to a name of their attempt's own,
-which only the manifest of the finished job names: repeated tasks do no harm.
+which only the manifest of the finished job names: repeated tasks do no harm. The manifest, a row per range, is one file:
+Spark runs a process for every file that a task begins in a local folder, which shares the executor's memory for a moment
+and seems to take as much again.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ LENGTH = 2048
 #: Sequences in a record batch.
 ROWS = 256
 END_ID = 2
+#: Ids that a task reads back, at least; files with fewer share a task.
+READ_IDS = 1 << 20
 DOCS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
@@ -94,9 +98,11 @@ class TokenFiles:
 
     def documents(self) -> DataFrame:
         """(doc_id, start, n_tokens, ids_crc32), read back from the files alone."""
-        files = self.files()
-        n = max(1, min(partitions(files.sparkSession) * 4, files.count()))
-        return files.repartition(n, "part").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+        count, ids = self.manifest.agg(F.count("*"), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
+        n = max(1, min(partitions(self.manifest.sparkSession) * 4, count, -(-ids // READ_IDS)))
+        # dealt in turn, from one partition with a row per file: tasks get as many files each; the order keeps the two apart
+        files = self.files().coalesce(1).sortWithinPartitions("part").repartition(n)
+        return files.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def write(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH, end_id: int = END_ID) -> TokenFiles:
@@ -145,10 +151,9 @@ def write(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH,
 
     rows = docs.select("doc_id", "text").repartitionByRange(partitions(spark), F.col("doc_id"), F.xxhash64("text"))
     rows = rows.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    manifest = rows.mapInArrow(
-        run, "part int, ids_file string, docs_file string, n_docs long, n_tokens long, n_sequences long"
-    )
-    return TokenFiles(folder, materialise(manifest, "token-manifest"), length)
+    schema = "part int, ids_file string, docs_file string, n_docs long, n_tokens long, n_sequences long"
+    manifest = spark.createDataFrame(rows.mapInArrow(run, schema).collect(), schema)  # one row per range
+    return TokenFiles(folder, materialise(manifest.coalesce(1), "token-manifest"), length)
 
 
 def _open(uri: str):
